@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.leakage import find_leaks, leak_report
+from tidemark.llm.textstats import no_prose, outlier_scores, text_statistics
 from tidemark.llm.tokenizer import decode_ids, encode_texts
+from tidemark.session import cut
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,8 +37,22 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return leak_report(p8_found(spark, folder), "doc_id", "item_id", _table(spark, folder, "eval_items"), ["split", "task"])
 
 
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    return outlier_scores(cut(text_statistics(_table(spark, folder, "documents"), "doc_id", "text", "lang")))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that are a list, a table or junk: outliers of their language without a text of running sentences."""
+    return _scored(spark, folder).filter(no_prose()).select("doc_id")
+
+
+def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's statistics and outlier score."""
+    return _scored(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p7_ids, p7_decoded, p8_found, p8_report)}
+    return {f.__name__: f for f in (p7_ids, p7_decoded, p8_found, p8_report, p9_found, p9_statistics)}
 
 
 def _grams(table: str, key: str) -> str:

@@ -25,6 +25,8 @@ COMMON = {
     "es": "el la los las un una unos unas de del en por para con sin sobre entre hasta desde al y e o u pero ni que se cuando porque pues mientras aunque como no ya más menos muy fue era ser estar está son tiene tener hay él ella ellos ellas eso este esta ese esa su sus le lo nos todos todas cada solo también después antes",
 }
 _COMMON = {lang: frozenset(words.split()) for lang, words in COMMON.items()}
+#: Language of texts that show none; they are ranked among the texts of all languages.
+UNKNOWN = "und"
 _ANY = frozenset().union(*_COMMON.values())
 
 #: Statistics, whether low (-1), high (1) or both (0) are odd, and the grid to which they are rounded: the number of
@@ -33,88 +35,195 @@ STATISTICS = {"words": 0, "word_length": 0, "symbol_share": 1, "digit_share": 1,
 LOGARITHMIC = ("words", "word_length")
 
 _WORD = re.compile(r"\w+")
-_LETTER_RUN = re.compile(r"[^\W\d_]+")
-_SPACES = re.compile(r"\s+")
+_ODD = re.compile(r"[^\w\s]+|\d+")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _ENDED = re.compile(r"[.!?:;…][\"'”’»)\]]*\Z")
-_MARKER = re.compile(r"[\s>]*(?:[-*•+–—·]+\s|\[[ xX]?\]|\(?\d{1,3}\s*[.)\-–:]\s|\(?[a-zA-Z]\)\s|#+\s)")
+_MARKER = re.compile(r"[\s>]*(?:[-*•+–—·]+\s|\[[ x]?\]|\(?\d{1,3}\s*[.)\-–:]\s|\(?[a-z]\)\s|#+\s)")
 _LEADER = re.compile(r"\.{4,}|…{2,}|_{4,}")
-_COLUMNS = re.compile(r"\S\s{3,}\S")
-_UNIT = re.compile(r"[^.!?;]+(?:[.!?;](?![\s\"'”’»)\]]|\Z)[^.!?;]*)*(?:[.!?;]+[\"'”’»)\]]*|\Z)", re.S)
+_COLUMNS = re.compile(r"(?<=\S)\s{3,}(?=\S)")
+_STOP = re.compile(r"[.!?;]+[\"'”’»)\]]*(?=\s|\Z)")
 _CLOSED = re.compile(r"[.!?;]+[\"'”’»)\]]*\Z")
 
 
-def _structured(line: str) -> bool:
-    """Whether a line is an item, a record or a rule rather than part of a sentence."""
-    if _LEADER.search(line):
+def _structured(line: str, solid: int, odd: int) -> bool:
+    """Whether a line is an item, a record or a rule rather than part of a sentence.
+
+    `solid`, `odd`: its characters that are no white space, and those that are digits or symbols.
+    """
+    if ("...." in line or "……" in line or "____" in line) and _LEADER.search(line):
         return True
-    cells = max(line.count("|"), line.count("\t"), line.count(";"), len(_COLUMNS.findall(line)))
+    cells = max(line.count("|"), line.count("\t"), line.count(";"), len(_COLUMNS.findall(line)) if "   " in line else 0)
     if cells > 1 and len(_WORD.findall(line)) < 4 * (cells + 1):
         return True
-    solid = _SPACES.sub("", line)
-    letters = sum(map(len, _LETTER_RUN.findall(line)))
-    if letters < 0.6 * len(solid) or line.lstrip()[:1] in "{[<" and solid[-1:] in "}]>,":
+    if odd > 0.4 * solid:
+        return True
+    bare = line.strip()
+    if bare[:1] in "{[<" and bare[-1:] in "}]>,":
         return True
     mark = _MARKER.match(line)
     if mark:
         words = len(_WORD.findall(line, mark.end()))
-        return words < 6 or words < 12 and not _ENDED.search(line.rstrip())
-    name, colon, value = line.partition(": ")
-    return bool(colon) and len(_WORD.findall(line)) < 5
+        return words < 6 or words < 12 and not _ENDED.search(bare)
+    return ": " in line and len(_WORD.findall(line)) < 5
 
 
-def _running(unit: str) -> bool:
+def _running(unit: str, words: list[str], common: int) -> bool:
     """Whether a stretch up to a full stop, or to the end of its paragraph, is a running sentence."""
-    words = _WORD.findall(unit.lower())
     n = len(words)
-    if n < 5:
-        return False
-    lines = unit.strip().count("\n") + 1
-    common = sum(w in _ANY for w in words)
-    if common < max(2, 0.12 * n) or len(set(words)) < 0.35 * n and n < 120:
+    if n < 5 or common < 0.12 * n or common < 2 and n > 8 or n < 120 and len(set(words)) < 0.35 * n:
         return False
     commas = unit.count(",")
     if commas > 3 and n < 5 * (commas + 1):
         return False
-    if not _CLOSED.search(unit.rstrip()) or n > 80:
+    lines = unit.strip().count("\n") + 1
+    if n > 80 or not _CLOSED.search(unit.rstrip()):
         return n >= 6 * lines and n >= 6
     return n >= 3.2 * lines
 
 
-def sentence_share(text: str) -> float:
-    """Share of a text's characters, without white space, that lie in running sentences."""
-    total = len(_SPACES.sub("", text))
-    if not total:
-        return 0.0
-    running = 0
-    for paragraph in _PARAGRAPH.split(text):
-        lines = paragraph.split("\n")
-        kept = [line for line in lines if line.strip() and not _structured(line)]
-        for unit in _UNIT.findall("\n".join(kept)):
-            if _running(unit):
-                running += len(_SPACES.sub("", unit))
-    return min(1.0, running / total)
+def _solid(text: str) -> int:
+    return len("".join(text.split()))
 
 
 def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
-    """The statistics of a text, unrounded, and the language its common words speak for, if they do."""
-    lowered = text.lower()
-    words = _WORD.findall(lowered)
+    """The statistics of a text, unrounded, and the language its common words speak for, if they do.
+
+    Every part of the text is read into words once: structured lines by themselves, the lines between them joined
+    up to the next full stop or the end of the paragraph.
+    """
+    words: list[str] = []
+    common: list[str] = []
+    solid = symbols = digits = lines = ended = running = 0
+    for paragraph in _PARAGRAPH.split(text.lower()):
+        kept = []
+        for line in paragraph.split("\n"):
+            own = _solid(line)
+            if not own:
+                continue
+            odd = "".join(_ODD.findall(line))
+            number = sum(map(str.isdigit, odd))
+            solid, symbols, digits, lines = solid + own, symbols + len(odd) - number, digits + number, lines + 1
+            ended += bool(_ENDED.search(line.rstrip()))
+            if _structured(line, own, len(odd)):
+                some = _WORD.findall(line)
+                words += some
+                common += [w for w in some if w in _ANY]
+            else:
+                kept.append(line)
+        if not kept:
+            continue
+        rest, at = "\n".join(kept), 0
+        for end in [*(m.end() for m in _STOP.finditer(rest)), len(rest)]:
+            unit, at = rest[at:end], end
+            some = _WORD.findall(unit)
+            if not some:
+                continue
+            known = [w for w in some if w in _ANY]
+            if _running(unit, some, len(known)):
+                running += _solid(unit)
+            words += some
+            common += known
     n = len(words)
-    by = {lang: sum(map(own.__contains__, words)) for lang, own in _COMMON.items()}
+    by = {lang: sum(map(own.__contains__, common)) for lang, own in _COMMON.items()}
     best = max(by, key=by.get)
-    solid = len(_SPACES.sub("", text))
-    letters = sum(map(len, words))
-    digits = sum(map(len, re.findall(r"\d+", text)))
-    lines = [line.rstrip() for line in text.split("\n") if line.strip()]
     found = {
         "words": n,
-        "word_length": letters / n if n else 0.0,
-        "symbol_share": max(0, solid - letters) / solid if solid else 0.0,
+        "word_length": len("".join(words)) / n if n else 0.0,
+        "symbol_share": symbols / solid if solid else 0.0,
         "digit_share": digits / solid if solid else 0.0,
-        "ended_lines": sum(bool(_ENDED.search(line)) for line in lines) / len(lines) if lines else 0.0,
+        "ended_lines": ended / lines if lines else 0.0,
         "common_words": by[best] / n if n else 0.0,
         "distinct_words": len(set(words)) / n if n else 0.0,
-        "sentence_share": sentence_share(text),
+        "sentence_share": running / solid if solid else 0.0,
     }
     return found, best if by[best] >= 3 else None
+
+
+def rounded(name: str, value: float) -> float:
+    """A statistic on its grid: shares in thousandths, sizes in hundredths of their decimal logarithm."""
+    return round(math.log10(1 + value), 2) if name in LOGARITHMIC else round(value, 3)
+
+
+def text_statistics(rows: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """(key, lang, statistics…): one row for each text that isn't null or blank, statistics on their grids.
+
+    lang is the language whose common words the text uses, else the stated one if it is of COMMON, else 'und'. Whole
+    texts are read where they lie, in Arrow batches, without a shuffle. Null, empty and blank texts give no row,
+    repeated rows each one; an empty table stays empty; other columns are not read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, langs, values = [], [], {name: [] for name in STATISTICS}
+            for i, (value, stated) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if not value or value.isspace():
+                    continue
+                found, spoken = statistics_of(value)
+                at.append(i)
+                said = (stated or "").strip().lower()
+                langs.append(spoken or (said if said in COMMON else UNKNOWN))
+                for name, x in found.items():
+                    values[name].append(rounded(name, x))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(langs, pa.string()), *(pa.array(v, pa.float64()) for v in values.values())], names=[key, "lang", *values])
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(F.col(key), F.col(text), F.col(lang)).mapInArrow(run, f"`{key}` {kind}, lang string, " + ", ".join(f"{name} double" for name in STATISTICS))
+
+
+def exact_ranks(counts: DataFrame, group: list[str], value: str, n: str = "n", ranges: int = 32) -> DataFrame:
+    """Adds `below`, `upto` and `total`: rows of the group with a smaller value, with one at most this, and in all.
+
+    `counts` holds each value of a group once, with the number of rows that have it. It is sorted by range
+    partitions; each partition counts for itself and starts from the totals of those before it, its offset. The
+    partitioning is written down before it is used twice, so a task that runs again finds the same ranges. Nothing
+    is sorted in one place: a group that holds most of the values spans many ranges.
+    """
+    spread = cut(counts.repartitionByRange(ranges, *group, value).withColumn("__range", F.spark_partition_id()))
+    totals = spread.groupBy(*group, "__range").agg(F.sum(n).alias("__rows"))
+    before = Window.partitionBy(*group).orderBy("__range")  # at most `ranges` rows of a group
+    offsets = totals.withColumns({"__offset": F.sum("__rows").over(before) - F.col("__rows"), "total": F.sum("__rows").over(Window.partitionBy(*group))}).drop("__rows")
+    within = Window.partitionBy(*group, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = spread.withColumn("__running", F.sum(n).over(within)).join(offsets, [*group, "__range"])
+    return ranked.withColumns({"upto": F.col("__offset") + F.col("__running"), "below": F.col("__offset") + F.col("__running") - F.col(n)}).drop("__range", "__running", "__offset")
+
+
+#: Rows of the table of tail probabilities up to which it is sent to every task; beyond, it is joined by shuffle.
+#: The grids bound it: a language has at most 1001 values of a share and some hundreds of a size.
+SENT_ROWS = 200_000
+
+
+def tail_probabilities(stats: DataFrame) -> DataFrame:
+    """(lang, statistic, value, surprise): minus the logarithm of the share of the language's documents at least as odd."""
+    long = stats.select("lang", F.inline(F.array(*(F.struct(F.lit(name).alias("statistic"), F.col(name).alias("value")) for name in STATISTICS))))
+    counts = long.groupBy("lang", "statistic", "value").agg(F.count(F.lit(1)).alias("n"))
+    everyone = counts.groupBy(F.lit(UNKNOWN).alias("lang"), "statistic", "value").agg(F.sum("n").alias("n"))
+    ranked = exact_ranks(counts.filter(F.col("lang") != UNKNOWN).unionByName(everyone), ["lang", "statistic"], "value")
+    low, high = F.col("upto") / F.col("total"), (F.col("total") - F.col("below")) / F.col("total")
+    direction = F.create_map(*(F.lit(x) for pair in STATISTICS.items() for x in pair))[F.col("statistic")]
+    tail = F.when(direction < 0, low).when(direction > 0, high).otherwise(F.least(F.lit(1.0), 2 * F.least(low, high)))
+    return ranked.select("lang", "statistic", "value", (-F.log(tail)).alias("surprise"))
+
+
+def outlier_scores(stats: DataFrame) -> DataFrame:
+    """`stats` with `score`: the mean surprise over all statistics. About 1 is what chance alone gives."""
+    tails = cut(tail_probabilities(stats))
+    small = tails.limit(SENT_ROWS + 1).count() <= SENT_ROWS
+    scored, sums = stats, []
+    for name in STATISTICS:
+        own = tails.filter(F.col("statistic") == name).select("lang", F.col("value").alias(name), F.col("surprise").alias(f"__{name}"))
+        scored = scored.join(F.broadcast(own) if small else own, ["lang", name], "left")
+        sums.append(F.col(f"__{name}"))
+    total = sums[0]
+    for s in sums[1:]:
+        total = total + s
+    return scored.withColumn("score", total / F.lit(len(sums))).select(*stats.columns, "score")
+
+
+#: Outlier score from which a text is examined, and share of running sentences under which it is no prose.
+EXAMINED = 0.5
+PROSE = 0.5
+
+
+def no_prose() -> Column:
+    """Whether a scored text consists for the most part of something other than running sentences."""
+    return (F.col("score") >= EXAMINED) & (F.col("sentence_share") < PROSE)
