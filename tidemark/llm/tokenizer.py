@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Pieces between which the pattern always splits: a word with the white space before it. No alternative of the
 #: pattern goes from other characters on to white space, and what follows such a border doesn't change what precedes.
-PIECE = regex.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Longer pieces are encoded by streaming and not remembered; pieces remembered per worker.
 LONG_PIECE = 64
 REMEMBERED = 1 << 20
@@ -138,6 +138,27 @@ class Merges:
             i -= len(self.bytes[last[i]])
         yield from reversed(rest)
 
+    def whole(self, data: bytes) -> list[int]:
+        """Token ids of one short pattern match, without a window."""
+        last, fits, size = [-1], self._fits, self._size
+        ready = 0
+        for end, (token, length) in self.automaton.iter(data.decode("latin-1")):
+            if end < ready:
+                continue
+            start = end + 1 - length
+            if start:
+                fit = fits.get(last[start] * size + token)
+                if not (self.fits(last[start], token) if fit is None else fit):
+                    continue
+            last.append(token)
+            ready += 1
+        ids, i = [], ready
+        while i:
+            ids.append(last[i])
+            i -= len(self.bytes[last[i]])
+        ids.reverse()
+        return ids
+
     def _settled(self, base: int, last: list[int]) -> tuple[list[int], int, list[int]]:
         """The tokens before the last border on which all live prefixes agree, that border, and what is left."""
         sizes = self.bytes
@@ -154,34 +175,60 @@ class Merges:
         return emitted[::-1], base + border, last[border:]
 
 
-class Encoder:
-    """Encodes and decodes texts by one merge list; remembers short pieces."""
+class Encoder(dict):
+    """Encodes and decodes texts by one merge list. A mapping of pieces to their ids, packed as 32-bit integers; a
+    piece that isn't known yet is encoded and, if it is short, remembered."""
 
     def __init__(self, merges: Merges, block: int = 1 << 16):
+        super().__init__()
         self.merges, self.block = merges, block
-        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _matches(self, piece: str) -> Iterator[int]:
+    def _streamed(self, piece: str) -> Iterator[int]:
         for match in self.merges.pattern.finditer(piece):
             begin, end = match.span()
-            yield from self.merges.stream(piece[i : min(i + self.block, end)].encode() for i in range(begin, end, self.block))
+            if end - begin <= LONG_PIECE:
+                own = match.group()
+                yield from array("i", self.get(own) or self._match(own))
+            else:
+                yield from self.merges.stream(piece[i : min(i + self.block, end)].encode() for i in range(begin, end, self.block))
 
-    def piece(self, piece: str) -> Iterable[int]:
+    def _match(self, match: str) -> bytes:
+        """Ids of one short match of the pattern, which as a piece of its own has the same ids."""
+        if len(self) >= REMEMBERED:
+            self.clear()
+        packed = self[match] = array("i", self.merges.whole(match.encode())).tobytes()
+        return packed
+
+    def __missing__(self, piece: str) -> bytes:
         """Ids of one piece between borders at which the pattern always splits."""
         if len(piece) > LONG_PIECE:
-            return self._matches(piece)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        ids = self.known[piece] = tuple(self._matches(piece))
-        return ids
+            return array("i", self._streamed(piece)).tobytes()
+        letters = piece[1:] if piece[0] == " " else piece
+        if letters.isalpha():  # one match: letters with a space before them
+            return self._match(piece)
+        matches = self.merges.pattern.findall(piece)
+        if len(matches) == 1:
+            return self._match(piece)
+        packed = b"".join([self.get(m) or self._match(m) for m in matches])
+        self[piece] = packed
+        return packed
+
+    def packed(self, text: str | None) -> bytes:
+        """Ids of a text, packed; null and empty texts have none."""
+        if not text:
+            return b""
+        if len(text) < LONG_TEXT:
+            return b"".join(map(self.__getitem__, PIECE.findall(text)))
+        whole = bytearray()
+        for match in PIECE.finditer(text):
+            whole += self[match.group()]
+        return bytes(whole)
 
     def encode(self, text: str | None) -> Iterator[int]:
         """Ids of a text, as they become stable; null and empty texts have none."""
-        if not text:
-            return iter(())
-        known, piece = self.known.get, self.piece
-        pieces = PIECE.findall(text) if len(text) < LONG_TEXT else (m.group() for m in PIECE.finditer(text))
-        return chain.from_iterable(known(p) or piece(p) for p in pieces)
+        for match in PIECE.finditer(text or ""):
+            piece = match.group()
+            yield from self._streamed(piece) if len(piece) > LONG_PIECE else array("i", self[piece])
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """Text of ids, as its characters become complete: an incremental UTF-8 decoder keeps the open bytes."""
@@ -228,11 +275,12 @@ def encode_texts(rows: DataFrame, key: str, text: str, folder: str | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary_path(name, folder))
         for batch in batches:
-            ids, ends = array("i"), [0]
-            for value in batch.column(1):
-                ids.extend(own.encode(value.as_py()))
-                ends.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, dtype=np.int32) if ids else [], pa.int32()))
+            packed = [own.packed(text) for text in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *(len(p) >> 2 for p in packed)], dtype=np.int64)
+            if ends[-1] >= 1 << 31:
+                raise ValueError("more than 2^31 token ids in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+            ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "ids"])
 
     kind = rows.schema[key].dataType.simpleString()
