@@ -24,10 +24,10 @@ WORDS_A_PASS = 2_000_000
 BLOCK = 2
 
 
-def _mark_ranges() -> str:
-    """All combining marks, as ranges of a character class."""
+def _mark_ranges(first: int, last: int) -> str:
+    """All combining marks from first to last, as ranges of a character class."""
     ranges: list[list[int]] = []
-    for c in range(sys.maxunicode + 1):
+    for c in range(first, last + 1):
         if unicodedata.category(chr(c)) in ("Mn", "Me"):
             if ranges and ranges[-1][1] == c - 1:
                 ranges[-1][1] = c
@@ -42,13 +42,18 @@ class Words:
     REMEMBERED = 1 << 20
 
     def __init__(self):
-        marks = _mark_ranges()
-        self.run = re.compile(f"[\\w{marks}]+")
-        self.marks = re.compile(f"[{marks}]+")
+        low, high = _mark_ranges(0, 0xFFFF), _mark_ranges(0x10000, sys.maxunicode)
+        self.run = re.compile(f"[\\w{low}{high}]+")
+        self.marks = re.compile(f"[{low}{high}]+")
+        # classes within the first plane are looked up in a bitmap, the others range by range
+        self.low_marks, self.high = re.compile(f"[{low}]"), re.compile("[\U00010000-\U0010ffff]")
         self.parts = re.compile(r"\w+")
         self.plain: dict[str, str] = {}
         self.several: set[str] = set()  # runs whose plain form isn't one word
 
+    def _marked(self, text: str) -> bool:
+        return not text.isascii() and bool(self.low_marks.search(text) or self.high.search(text) and self.marks.search(text))
+
     def _plain(self, run: str) -> str:
         if len(self.plain) >= self.REMEMBERED:
             self.plain.clear()
@@ -64,7 +69,7 @@ class Words:
         """The words of a text, none of a null one. An underscore separates words like punctuation."""
         if not text:
             return []
-        runs = (self.parts if text.isascii() or not self.marks.search(text) else self.run).findall(text.replace("_", " ") if "_" in text else text)
+        runs = (self.run if self._marked(text) else self.parts).findall(text.replace("_", " ") if "_" in text else text)
         known, plain = self.plain.get, self._plain
         words = [known(r) or plain(r) for r in runs]
         if self.several and not self.several.isdisjoint(runs):
