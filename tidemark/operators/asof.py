@@ -32,12 +32,17 @@ def asof_join(events: DataFrame, versions: DataFrame, entity: str, at: str, *, f
     at valid_from has that version, one at valid_to the next. Events of `hot` entities are split by salt.
 
     Events with a null entity or instant, or without a valid version, stay with nulls under `left` and go under
-    `inner`; repeated events each come out. The sides must share no column names but `entity`; an empty versions
-    table leaves every event without one.
+    `inner`; repeated events each come out. A version column that events have too comes out as `version_` and its
+    name. An empty versions table leaves every event without one.
     """
-    end = F.least(F.coalesce(F.col("valid_to") - 1, F.lit(last)), F.lit(last))
-    begin = F.greatest(F.col("valid_from"), F.lit(first))
-    cut = versions.filter((begin <= end) & F.col(entity).isNotNull()).withColumn("__bucket", F.explode(F.sequence(bucket_of(begin, days), bucket_of(end, days))))
+    others = [c for c in versions.columns if c != entity]
+    own = versions.select(entity, *(F.col(c).alias(f"__v_{c}") for c in others))
+    start, stop = F.col("__v_valid_from"), F.col("__v_valid_to")
+    end = F.least(F.coalesce(stop - 1, F.lit(last)), F.lit(last))
+    begin = F.greatest(start, F.lit(first))
+    cut = own.filter((begin <= end) & F.col(entity).isNotNull()).withColumn("__bucket", F.explode(F.sequence(bucket_of(begin, days), bucket_of(end, days))))
     placed = events.withColumn("__bucket", bucket_of(F.col(at), days))
-    within = (F.col(at) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))
-    return salted_join(placed, cut, [entity, "__bucket"], how, hot=hot, hot_on=[entity], salt_on=salt_on, condition=within).drop("__bucket")
+    within = (F.col(at) >= start) & (stop.isNull() | (F.col(at) < stop))
+    joined = salted_join(placed, cut, [entity, "__bucket"], how, hot=hot, hot_on=[entity], salt_on=salt_on, condition=within)
+    named = [F.col(f"__v_{c}").alias(f"version_{c}" if c in events.columns else c) for c in others]
+    return joined.select(*events.columns, *named)

@@ -13,6 +13,7 @@ from tidemark.functions.times import DAY_US, day_of, event_micros, instant_liter
 from tidemark.operators.asof import asof_join, bucket_of
 from tidemark.operators.redelivery import one_of_each
 from tidemark.operators.skew import hot_keys
+from tidemark.session import cut
 from tidemark.store import append, append_new, new_rows, rows_in, table_exists
 
 #: Start of first versions, end of open ones, key of the row without attributes. (fixed values)
@@ -197,7 +198,7 @@ def ptax_intervals(ptax: DataFrame) -> DataFrame:
     return rate_intervals(reduced)
 
 
-def with_rates(events: DataFrame, intervals: DataFrame, at: str, currency: str, reporting: str = "BRL", days: int = 8) -> DataFrame:
+def with_rates(events: DataFrame, intervals: DataFrame, at: str, currency: str, reporting: str = "BRL", days: int = 8, span: tuple[int, int] | None = None) -> DataFrame:
     """Adds fx_rate and fx_rate_date: the quote in force at the event's instant, 1 and the event's day for the reporting currency.
 
     Instants decide, not days. The interval table is sent to every task if a count shows it small; else it is joined
@@ -205,8 +206,10 @@ def with_rates(events: DataFrame, intervals: DataFrame, at: str, currency: str,
     """
     quotes = intervals.select(F.col("currency").alias("__fx_currency"), "quote_date", "rate", "valid_from", "valid_to")
     foreign = events.withColumn("__fx_currency", F.when(F.col(currency) != reporting, F.col(currency)))
-    span = events.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
-    first, last = span["a"] or 0, span["b"] or 0
+    if span is None:
+        r = events.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+        span = (r["a"] or 0, r["b"] or 0)
+    first, last = span
     if quotes.limit(SENT_INTERVALS + 1).count() <= SENT_INTERVALS:
         end = F.least(F.coalesce(F.col("valid_to") - 1, F.lit(last)), F.lit(last))
         begin = F.greatest(F.col("valid_from"), F.lit(first))
@@ -255,19 +258,20 @@ def fact_rows(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, l
     fact = fact or PaymentFact()
     columns = ["transaction_id", "event_time", "emitted_at", *fact.roles.values(), "amount", "currency", "payment_method", "_record_source"]
     one = one_of_each(payments.select(*columns).filter(message_id(F.col("transaction_id")).isNotNull()), message_id(F.col("transaction_id")), columns)
-    events = one.withColumns({"transaction_id": message_id(F.col("transaction_id")), "__at": event_micros(F.col("event_time")), "__amount": F.col("amount").try_cast(AMOUNT)})
-    bad = events.filter(F.col("__at").isNull() | F.col("__amount").isNull()).limit(1).count()
-    if bad:
-        raise BuildRefused("payments whose instant or amount can't be read")
-    span = events.agg(F.min("__at").alias("a"), F.max("__at").alias("b")).first()
+    read = one.withColumns({"transaction_id": message_id(F.col("transaction_id")), "__at": event_micros(F.col("event_time")), "__amount": F.col("amount").try_cast(AMOUNT)})
+    events = cut(read.select("transaction_id", "event_time", *fact.roles.values(), "currency", "payment_method", "__at", "__amount"))  # written down once, read by every pass below
+    found = events.agg(F.min("__at").alias("a"), F.max("__at").alias("b"), F.count(F.when(F.col("__at").isNull() | F.col("__amount").isNull(), 1)).alias("bad")).first()
+    if found["bad"]:
+        raise BuildRefused(f"{found['bad']} payments whose instant or amount can't be read")
+    first, last = found["a"] or 0, found["b"] or 0
+    rated = with_rates(events, intervals, "__at", "currency", span=(first, last))
+    if rated.filter(F.col("fx_rate").isNull()).limit(1).count():
+        raise BuildRefused("payments no rate can be resolved for")
     versions = dimension.filter(F.col(fact.surrogate) != GHOST)
     for key, column in fact.roles.items():
         own = versions.select(F.col(fact.natural).alias(column), F.col(fact.surrogate).alias(key), F.unix_micros("valid_from").alias("valid_from"), F.unix_micros("valid_to").alias("valid_to"))
-        hot, _ = hot_keys(payments, [column])
-        events = asof_join(events, own, column, "__at", first=span["a"] or 0, last=span["b"] or 0, days=64, hot=[h for h in hot if h[0] is not None], salt_on=["transaction_id"]).drop("valid_from", "valid_to")
-    rated = with_rates(events, intervals, "__at", "currency")
-    if rated.filter(F.col("fx_rate").isNull()).limit(1).count():
-        raise BuildRefused("payments no rate can be resolved for")
+        hot, _ = hot_keys(events, [column])
+        rated = asof_join(rated, own, column, "__at", first=first, last=last, days=64, hot=[h for h in hot if h[0] is not None], salt_on=["transaction_id"]).drop("valid_from", "valid_to")
     return rated.select(
         *(F.coalesce(k, F.lit(GHOST).cast("long")).alias(k) for k in fact.roles),
         date_key(F.date_from_unix_date(((F.col("__at") - F.pmod("__at", F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))).alias("event_date_key"), date_key(F.col("fx_rate_date")).alias("fx_rate_date_key"),

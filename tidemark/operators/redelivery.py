@@ -111,7 +111,7 @@ def one_of_each(rows: DataFrame, identity: Column, order: list[str]) -> DataFram
     the shuffle; nothing is sorted per message. Nulls sort first, repeated rows are one, an empty table stays empty.
     """
     cols = rows.columns
-    ordered = F.struct(*(F.col(c) for c in [*order, *(c for c in cols if c not in order)]))
+    ordered = F.struct(*(F.col(f"`{c}`") for c in [*order, *(c for c in cols if c not in order)]))
     keyed = rows.withColumn("__id", identity)
     kept = keyed.filter(F.col("__id").isNotNull()).groupBy("__id").agg(F.min(ordered).alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in cols))
-    return kept.unionByName(keyed.filter(F.col("__id").isNull()).select(*cols))
+    return kept.unionByName(keyed.filter(F.col("__id").isNull()).select(*(F.col(f"`{c}`") for c in cols)))
