@@ -46,7 +46,7 @@ def required_instant(text: str) -> str:
 
 def required_spec(name: str, kind: type):
     spec = MODEL.get(name)
-    if not isinstance(spec, kind):
+    if spec is None or not isinstance(spec, kind):
         raise JobRefused(f"{name!r} is no {kind.__name__.lower()}; there are {sorted(n for n, s in MODEL.items() if isinstance(s, kind))}")
     return spec
 

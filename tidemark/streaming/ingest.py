@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.sources.contracts import MONTH, LandedTable, struct_of
 from tidemark.sources.readers import audited, audited_file, audited_instant, lookup_type, parse_json_lines, read_options
+from tidemark.store import append, new_rows, table_exists
 
 
 class IngestRefused(ValueError):
@@ -73,8 +74,18 @@ def ingest(spark: SparkSession, table: LandedTable, *, root: str, month: str, ba
         rows = audited_instant(rows, column=table.axis.column, **common)
     else:
         rows = audited(rows, **common)
-    query = rows.writeStream.option("checkpointLocation", checkpoint_location(root, month, table)).trigger(availableNow=True).toTable(table.staging)
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        # a file is the unit of delivery: one whose rows are there already, from a run that ended before its
+        # checkpoint was written, is left out, so every file lands exactly once
+        own = batch.sparkSession
+        held = own.table(table.staging).select("_source_file") if table_exists(own, table.staging) else None
+        append(new_rows(batch, held, ["_source_file"]), table.staging)
+
+    query = rows.writeStream.option("checkpointLocation", checkpoint_location(root, month, table)).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
+    if table_exists(spark, table.staging):  # written by the stream's own session
+        spark.catalog.refreshTable(table.staging)
     return query
 
 
