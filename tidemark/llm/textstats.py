@@ -33,6 +33,10 @@ _ANY = frozenset().union(*_COMMON.values())
 #: distinct values of each stays bounded however many documents there are.
 STATISTICS = {"words": 0, "word_length": 0, "symbol_share": 1, "digit_share": 1, "ended_lines": -1, "common_words": -1, "distinct_words": 0, "sentence_share": -1}
 LOGARITHMIC = ("words", "word_length")
+#: Weight of each statistic's surprise in the score: running sentences tell prose from the rest most directly.
+WEIGHTS = {"words": 0.5, "word_length": 0.5, "symbol_share": 1.0, "digit_share": 1.0, "ended_lines": 1.0, "common_words": 1.0, "distinct_words": 0.5, "sentence_share": 4.0}
+#: Languages with fewer documents than this are ranked among all documents: few ranks say little.
+LEAST_RANKED = 200
 
 _WORD = re.compile(r"\w+")
 _ODD = re.compile(r"[^\w\s]+|\d+")
@@ -192,35 +196,43 @@ def exact_ranks(counts: DataFrame, group: list[str], value: str, n: str = "n", r
 SENT_ROWS = 200_000
 
 
-def tail_probabilities(stats: DataFrame) -> DataFrame:
-    """(lang, statistic, value, surprise): minus the logarithm of the share of the language's documents at least as odd."""
+def tail_probabilities(stats: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(lang, statistic, value, surprise), and the languages ranked by themselves; 'und' stands for all documents.
+
+    surprise: minus the logarithm of the share of the group's documents that are at least as odd.
+    """
     long = stats.select("lang", F.inline(F.array(*(F.struct(F.lit(name).alias("statistic"), F.col(name).alias("value")) for name in STATISTICS))))
-    counts = long.groupBy("lang", "statistic", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(long.groupBy("lang", "statistic", "value").agg(F.count(F.lit(1)).alias("n")))
+    sizes = counts.filter(F.col("statistic") == "words").groupBy("lang").agg(F.sum("n").alias("n")).collect()  # one row for each of COMMON, and 'und'
+    ranked_alone = sorted(r["lang"] for r in sizes if r["lang"] != UNKNOWN and r["n"] >= LEAST_RANKED)
     everyone = counts.groupBy(F.lit(UNKNOWN).alias("lang"), "statistic", "value").agg(F.sum("n").alias("n"))
-    ranked = exact_ranks(counts.filter(F.col("lang") != UNKNOWN).unionByName(everyone), ["lang", "statistic"], "value")
+    ranked = exact_ranks(counts.filter(F.col("lang").isin(ranked_alone)).unionByName(everyone), ["lang", "statistic"], "value")
     low, high = F.col("upto") / F.col("total"), (F.col("total") - F.col("below")) / F.col("total")
     direction = F.create_map(*(F.lit(x) for pair in STATISTICS.items() for x in pair))[F.col("statistic")]
     tail = F.when(direction < 0, low).when(direction > 0, high).otherwise(F.least(F.lit(1.0), 2 * F.least(low, high)))
-    return ranked.select("lang", "statistic", "value", (-F.log(tail)).alias("surprise"))
+    return ranked.select("lang", "statistic", "value", (-F.log(tail)).alias("surprise")), ranked_alone
 
 
 def outlier_scores(stats: DataFrame) -> DataFrame:
-    """`stats` with `score`: the mean surprise over all statistics. About 1 is what chance alone gives."""
-    tails = cut(tail_probabilities(stats))
+    """`stats` with `score`: the weighted mean surprise over all statistics; about 1 is what chance alone gives.
+
+    The score of a text is at least the weight of one of its statistics times that one's surprise. So a text whose
+    sentence share is under a limit scores no less than 0.42 times minus the logarithm of the share of such texts.
+    """
+    tails, ranked_alone = tail_probabilities(stats)
+    tails = cut(tails)
     small = tails.limit(SENT_ROWS + 1).count() <= SENT_ROWS
-    scored, sums = stats, []
+    scored, total = stats.withColumn("__group", F.when(F.col("lang").isin(ranked_alone), F.col("lang")).otherwise(UNKNOWN)), F.lit(0.0)
     for name in STATISTICS:
-        own = tails.filter(F.col("statistic") == name).select("lang", F.col("value").alias(name), F.col("surprise").alias(f"__{name}"))
-        scored = scored.join(F.broadcast(own) if small else own, ["lang", name], "left")
-        sums.append(F.col(f"__{name}"))
-    total = sums[0]
-    for s in sums[1:]:
-        total = total + s
-    return scored.withColumn("score", total / F.lit(len(sums))).select(*stats.columns, "score")
+        own = tails.filter(F.col("statistic") == name).select(F.col("lang").alias("__group"), F.col("value").alias(name), F.col("surprise").alias(f"__{name}"))
+        scored = scored.join(F.broadcast(own) if small else own, ["__group", name], "left")
+        total = total + F.col(f"__{name}") * WEIGHTS[name]
+    return scored.withColumn("score", total / sum(WEIGHTS.values())).select(*stats.columns, "score")
 
 
-#: Outlier score from which a text is examined, and share of running sentences under which it is no prose.
-EXAMINED = 0.5
+#: Outlier score from which a text is examined, and share of running sentences under which it is no prose. By the
+#: bound above the score leaves out no text without sentences unless they are the majority of its language.
+EXAMINED = 0.25
 PROSE = 0.5
 
 
