@@ -7,6 +7,7 @@ written apart from the operators. Keys are cleaned as the data states before the
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,10 @@ from tidemark.operators.skew import hot_keys
 from tidemark.operators.snapshotdiff import snapshot_changes
 from tidemark.operators.specs import Hub, KeyColumn, Link, LinkEnd, Satellite
 from tidemark.plans.tables import table
-from tidemark.sources.contracts import rules_for
-from tidemark.streaming import measures
+from tidemark.session import cut, shared_folder
+from tidemark.sources import generator
+from tidemark.sources.contracts import COLUMNS, LandedTable, rules_for
+from tidemark.streaming import ingest, measures
 
 COMPANY = Hub("hub_company", "hub_company_hk", (KeyColumn("cnpj_basico", 8),))
 COMPANY_DATA = Satellite("sat_company", "hub_company", ("razao_social", "natureza_juridica", "capital_social", "porte_empresa"))
@@ -420,10 +423,41 @@ def ref_date_token(spark, folder):
     return rows.select("_source_file", "_snapshot_month", token_month(F.col("_source_file")).alias("asserted"), ref_date_of_file(F.col("_source_file"), F.col("_snapshot_month")).alias("ref_date"))
 
 
+def stream_ingest(spark, folder):
+    """Payments written as JSON lines, ingested by the file stream in two runs: what both runs together deliver, once each.
+
+    The lines and the stream's state lie in the folder all executors share; a second run over the same files adds none.
+    """
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    columns = COLUMNS["payments"]
+    lines = table(spark, folder, "payments").select(F.to_json(F.struct(*columns)).alias("value"))
+    lines.write.text(f"{base}/in")
+    contract = LandedTable("payments", "generated", format="json")
+    for _ in range(2):
+        rows = ingest.file_stream(spark, contract, f"{base}/in").select(*columns, "_rescued_data")
+        rows.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).format("parquet").start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def generated_stream(spark, folder):
+    """Rows, identities, business tuples and late rows of a generated stream: exactly the numbers asked for."""
+    pool = generator.pool_of(table(spark, folder, "hub_empresa"), "cnpj_basico", 40, 7)
+    s = generator.PROFILES["promotable"].stream(pool, events=4000, repeats=300)
+    rows = cut(generator.deliveries(spark, s))
+    late = measures.late_arrivals(rows.select("transaction_id", event_micros(F.col("event_time")).alias("e"), event_micros(F.col("emitted_at")).alias("m")), "e", "m")
+    one = lambda df, *c: df.select(*c).distinct().agg(F.count(F.lit(1)).alias("n"))
+    parts = {"rows": rows.agg(F.count(F.lit(1)).alias("n")), "identities": one(rows, "transaction_id"), "business_tuples": one(rows, *COLUMNS["payments"][3:]), "late_identities": one(late, "transaction_id")}
+    out = None
+    for name, df in parts.items():
+        own = df.select(F.lit(name).alias("measure"), "n")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 QUERIES = (
     dq_classify, dq_tally, dq_overlap, dq_ptax, hash_keys, hub_company, hub_company_increment, link_payer_payee, link_payer_partner, sat_changed_rows, sat_incremental, observation_ledger, effectivity_windows, reference_pick,
     scd2_company, xxhash_injective, dim_calendar, dim_channel, pit_customer, pit_rows_per_as_of, customer_asof, fact_dedup, fx_intervals, fx_resolution, fx_coverage, fact_payment_rows, role_unresolved, orphan_keys,
-    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token,
+    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
 )
 
 
