@@ -39,7 +39,7 @@ def _mark_ranges(first: int, last: int) -> str:
 class Words:
     """Words of texts: runs of letters or digits, with the marks on them, in plain form. Remembers forms per worker."""
 
-    REMEMBERED = 1 << 20
+    REMEMBERED = 1 << 19
 
     def __init__(self):
         low, high = _mark_ranges(0, 0xFFFF), _mark_ranges(0x10000, sys.maxunicode)

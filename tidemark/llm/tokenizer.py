@@ -32,7 +32,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Longer pieces are encoded by streaming and not remembered; pieces remembered per worker.
 LONG_PIECE = 64
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 #: Characters from which a text's pieces are no longer listed but met one by one.
 LONG_TEXT = 1 << 20
 
