@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.orphans import find_orphans, latest_at, orphan_report
-from tidemark.operators.skew import hot_keys, salted_join
+from tidemark.operators.skew import hot_keys, parts_of, salted_join
 
 REFS = "id int, a int, b string"
 
@@ -67,16 +67,34 @@ def test_latest_at_is_closed_at_its_start(spark):
     assert [r[0] for r in df.collect()] == [None, "a", "a", "b", None]
 
 
-def test_hot_keys_are_those_over_the_share(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 7).when(F.col("id") < 700, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
-    hot, seen = hot_keys(df, ["k"], also={"min_id": F.min("id"), "max_id": F.max("id")})
-    assert sorted(hot, key=str) == [(7,), (None,)] and seen == {"n": 1000, "min_id": 0, "max_id": 999}
-    assert hot_keys(df.limit(0), ["k"])[0] == []
+def test_hot_keys_are_those_over_their_fair_share(spark):
+    df = spark.range(2000).select(F.when(F.col("id") < 800, 7).when(F.col("id") < 1400, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
+    hot, seen = hot_keys(df, ["k"], also={"min_id": F.min("id"), "max_id": F.max("id")}, parts=1000)
+    assert hot == {(7,): 1024, (None,): 1024} and seen == {"n": 2000, "min_id": 0, "max_id": 1999}
+    assert all(n / 2000 / parts <= 1 / 1000 for (_, parts), n in zip(sorted(hot.items(), key=str), (600, 800), strict=True))
+    assert set(hot_keys(df, ["k"])[0].values()) <= {2, 4, 8}
+    assert hot_keys(df.limit(0), ["k"])[0] == {}
 
 
+def test_parts_of_a_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a"), (3, None)], "k int, v string")
+    assert [r[0] for r in df.select(parts_of([F.col("k")], {(1,): 4, (None,): 8})).collect()] == [4, 1, 8, 1]
+    assert [r[0] for r in df.select(parts_of([F.col("k"), F.col("v")], {(3, None): 2, (1, "b"): 4})).collect()] == [1, 1, 1, 2]
+
+
+def test_no_task_gets_more_than_its_share_of_a_hot_key(spark):
+    """A third of all rows under one key, and another third without a key, spread evenly over the join's keys."""
+    left = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
+    hot, _ = hot_keys(left, ["k"], parts=60)
+    parts = parts_of([F.col("k")], hot)
+    sizes = left.groupBy("k", F.pmod(F.xxhash64("id"), parts).alias("salt")).count().agg(F.max("count")).first()[0]
+    assert sizes <= 30_000 / 60
+
+
+@pytest.mark.parametrize("hot", [[(5,)], {(5,): 8, (1,): 2, (None,): 4}, {}])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_a_salted_join_gives_what_a_plain_one_gives(spark, how):
+def test_a_salted_join_gives_what_a_plain_one_gives(spark, how, hot):
     left = spark.range(300).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).withColumn("k", F.when(F.col("v") % 3 == 0, 5).when(F.col("v") % 11 == 0, F.lit(None)).otherwise(F.col("k")))
     right = spark.createDataFrame([(5, "five"), (1, "one"), (1, "uno"), (None, "none")], "k long, w string")
     plain = left.join(right, "k", how).select(*left.columns, *(["w"] if how in ("inner", "left") else []))
-    assert rows(salted_join(left, right, ["k"], how, hot=[(5,)], salt_on=["v"])) == rows(plain)
+    assert rows(salted_join(left, right, ["k"], how, hot=hot, salt_on=["v"])) == rows(plain)

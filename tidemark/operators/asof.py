@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import DAY_US
-from tidemark.operators.skew import salted_join
+from tidemark.operators.skew import Hot, salted_join
 
 
 def bucket_of(micros: Column, days: int) -> Column:
@@ -23,7 +23,7 @@ def intervals_from_changes(changes: DataFrame, entity: Sequence[str], at: str) -
     return changes.withColumns({"valid_from": F.col(at), "valid_to": F.lead(at).over(w)})
 
 
-def asof_join(events: DataFrame, versions: DataFrame, entity: str, at: str, *, first: int, last: int, days: int, hot: Sequence[tuple], salt_on: Sequence[str], how: str = "left") -> DataFrame:
+def asof_join(events: DataFrame, versions: DataFrame, entity: str, at: str, *, first: int, last: int, days: int, hot: Hot, salt_on: Sequence[str], how: str = "left") -> DataFrame:
     """Events with the version of their entity that is valid at the event's instant, nothing known later.
 
     `versions`: (entity, valid_from, valid_to, …), instants in epoch microseconds, half-open, valid_to null if open,

@@ -218,7 +218,7 @@ def with_rates(events: DataFrame, intervals: DataFrame, at: str, currency: str,
         joined = foreign.join(F.broadcast(cut), test, "left").drop("__q_currency", "__q_bucket")
     else:
         hot, _ = hot_keys(foreign, ["__fx_currency"])
-        joined = asof_join(foreign, quotes, "__fx_currency", at, first=first, last=last, days=days, hot=[h for h in hot if h[0] is not None], salt_on=events.columns)
+        joined = asof_join(foreign, quotes, "__fx_currency", at, first=first, last=last, days=days, hot=hot, salt_on=events.columns)
     own = F.col(currency) == reporting
     event_day = F.date_from_unix_date(((F.col(at) - F.pmod(F.col(at), F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))
     return joined.withColumns({"fx_rate": F.when(own, F.lit(1).cast(RATE)).otherwise(F.col("rate")), "fx_rate_date": F.when(own, event_day).otherwise(F.col("quote_date"))}).drop("__fx_currency", "rate", "quote_date", "valid_from", "valid_to")
@@ -271,7 +271,7 @@ def fact_rows(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, l
     for key, column in fact.roles.items():
         own = versions.select(F.col(fact.natural).alias(column), F.col(fact.surrogate).alias(key), F.unix_micros("valid_from").alias("valid_from"), F.unix_micros("valid_to").alias("valid_to"))
         hot, _ = hot_keys(events, [column])
-        rated = asof_join(rated, own, column, "__at", first=first, last=last, days=64, hot=[h for h in hot if h[0] is not None], salt_on=["transaction_id"]).drop("valid_from", "valid_to")
+        rated = asof_join(rated, own, column, "__at", first=first, last=last, days=64, hot=hot, salt_on=["transaction_id"]).drop("valid_from", "valid_to")
     return rated.select(
         *(F.coalesce(k, F.lit(GHOST).cast("long")).alias(k) for k in fact.roles),
         date_key(F.date_from_unix_date(((F.col("__at") - F.pmod("__at", F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))).alias("event_date_key"), date_key(F.col("fx_rate_date")).alias("fx_rate_date_key"),

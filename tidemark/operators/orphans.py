@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import salted_join
+from tidemark.operators.skew import Hot, salted_join
 
 SEMANTICS = ("simple", "partial", "full")
 
@@ -19,7 +19,7 @@ def null_mask(columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, (F.when(c.isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(columns)))
 
 
-def find_orphans(refs: DataFrame, target: DataFrame, on: Sequence[str], *, semantics: str = "simple", hot: Sequence[tuple] = (), hot_on: Sequence[str] | None = None, salt_on: Sequence[str]) -> DataFrame:
+def find_orphans(refs: DataFrame, target: DataFrame, on: Sequence[str], *, semantics: str = "simple", hot: Hot = (), hot_on: Sequence[str] | None = None, salt_on: Sequence[str]) -> DataFrame:
     """Rows of `refs` whose composite key `on` names no row of `target`.
 
     References are grouped by null mask and each mask is looked up on its non-null columns, under the declared
@@ -60,9 +60,9 @@ def latest_at(micros: Column, steps: Sequence[tuple[int, str]]) -> Column:
 
     `steps`: (epoch microseconds, label) of the few points in time at which the label changes.
     """
-    label = F.lit(None).cast("string")
-    for at, name in sorted(steps):
-        label = F.when(micros >= F.lit(at), F.lit(name)).otherwise(label)
+    label = F.when(F.lit(False), F.lit(None).cast("string"))
+    for at, name in sorted(steps, reverse=True):  # one flat CASE, latest first
+        label = label.when(micros >= F.lit(at), F.lit(name))
     return label
 
 

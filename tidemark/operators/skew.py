@@ -1,68 +1,82 @@
 """Hot keys and joins that split them.
 
-A key is hot when it holds more than a `share` of all rows, so there are at most 1/share hot keys whatever the
-input's size: that is the proven bound of everything this module brings to the driver.
+A key is hot when it holds more than its fair share of a shuffle: more than one of `spark.sql.shuffle.partitions`
+equal parts of the rows (never asked for less than 1/256). So there are at most that many hot keys, whatever the
+input's size: that is the proven bound of everything this module brings to the driver. Each is split into so many
+parts that a part is at most half a fair share, so the largest task does not grow with the key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-SHARE = 1 / 256
-SALTS = 48
+#: Parts of a hot key whose size isn't known, and the least number of parts a fair share is measured by.
+SALTS, LEAST_PARTS = 48, 256
 
+Hot = Mapping[tuple, int] | Sequence[tuple]
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = SHARE, also: dict[str, Column] | None = None) -> tuple[list[tuple], dict]:
-    """Key tuples with more than `share` of the rows, and measures of the pass.
+
+def partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], also: dict[str, Column] | None = None, parts: int | None = None) -> tuple[dict[tuple, int], dict]:
+    """Hot key tuples with the number of parts to split each into (a power of two), and measures of the pass.
 
     One pass with map-side combine, so a hot key costs one row per task. `also`: aggregates over the rows whose
-    names start with min_ or max_; they come back, reduced over all rows, with the row count `n`. Null keys count
-    as a key. Empty input: no hot keys.
+    names start with min_ or max_; they come back, reduced over all rows, with the row count `n`. `parts`: the number
+    of fair shares, by default the session's shuffle partitions. Null keys count as a key. Empty input: no hot keys.
     """
-    also = also or {}
+    also, partitions = also or {}, parts or partitions_of(rows.sparkSession)
+    shares = max(partitions, LEAST_PARTS)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *(c.alias(a) for a, c in also.items()))
     seen = Observation()
     fold = [(F.min if a.startswith("min_") else F.max)(a).alias(a) for a in also]
-    top = counts.observe(seen, F.sum("__n").alias("n"), *fold).orderBy(F.desc("__n")).limit(int(1 / share) + 1).collect()
+    top = counts.observe(seen, F.sum("__n").alias("n"), *fold).orderBy(F.desc("__n")).limit(shares).collect()
     measures = dict(seen.get)
-    measures["n"] = measures.get("n") or 0
-    return [tuple(r[k] for k in keys) for r in top if r["__n"] > share * measures["n"]], measures
+    n = measures["n"] = measures.get("n") or 0
+    return {tuple(r[k] for k in keys): 1 << max(1, (2 * r["__n"] * partitions // n).bit_length()) for r in top if r["__n"] * shares > n}, measures
 
 
-def is_hot(columns: Sequence[Column], hot: Sequence[tuple]) -> Column:
-    """Whether the key is one of `hot`."""
-    if not hot:
-        return F.lit(False)
+def _in(columns: Sequence[Column], keys: Sequence[tuple]) -> Column:
+    """Whether the key is one of `keys`; a null equals a null."""
     if len(columns) == 1:
-        values = [h[0] for h in hot if h[0] is not None]
+        values = [k[0] for k in keys if k[0] is not None]
         test = F.coalesce(columns[0].isin(values), F.lit(False)) if values else F.lit(False)
-        return test | columns[0].isNull() if len(values) < len(hot) else test
-    return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (c.eqNullSafe(F.lit(v)) for c, v in zip(columns, h, strict=True))) for h in hot))
+        return test | columns[0].isNull() if len(values) < len(keys) else test
+    return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (c.eqNullSafe(F.lit(v)) for c, v in zip(columns, k, strict=True))) for k in keys))
 
 
-def salt_of(salt_on: Sequence[str], salts: int = SALTS) -> Column:
-    """Salt from the row's own content, so that a task that runs again sends each row where it went before."""
-    return F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+def parts_of(columns: Sequence[Column], hot: Hot) -> Column:
+    """Number of parts the row's key is split into, 1 if it isn't hot. One set lookup per power of two."""
+    sizes = hot if isinstance(hot, Mapping) else dict.fromkeys(hot, SALTS)
+    result = F.lit(1)
+    for size in sorted(set(sizes.values())):
+        result = F.when(_in(columns, [k for k, n in sizes.items() if n == size]), F.lit(size)).otherwise(result)
+    return result
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, *, hot: Sequence[tuple], hot_on: Sequence[str] | None = None, salt_on: Sequence[str], condition: Column | None = None, salts: int = SALTS) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, *, hot: Hot, hot_on: Sequence[str] | None = None, salt_on: Sequence[str], condition: Column | None = None) -> DataFrame:
     """Equi-join (`inner`, `left`, `left_semi`, `left_anti`) that splits the hot keys of the left side.
 
-    Left rows of a hot key get a salt from `salt_on`, the right rows of these keys are repeated once per salt;
-    all other rows keep salt 0. Left rows with a null in `on` match nothing and are spread by salt as well.
-    `hot_on`: the columns that `hot` is about, `on` by default. `condition` may name columns of either side; the
-    sides must share no other names than `on`. A right table must hold each key a bounded number of times.
+    Left rows of a hot key get a salt below its number of parts, a hash of `salt_on`, so that a task that runs again
+    sends each row where it went before; the right rows of these keys are repeated once per salt. All other rows keep
+    salt 0. Left rows with a null in `on` match nothing and are spread over all partitions. `hot`: as `hot_keys`
+    gives it, or just the keys; `hot_on`: the columns it is about, `on` by default. `condition` may name columns of
+    either side; the sides must share no other names than `on`. A right table must hold each key a bounded number of
+    times.
     """
     hot_on = list(hot_on or on)
+    columns = [F.col(c) for c in hot_on]
     nulls = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in on))
-    l = left.withColumn("__salt", F.when(is_hot([F.col(c) for c in hot_on], hot) | nulls, salt_of(salt_on, salts)).otherwise(F.lit(0)))
+    parts = F.when(nulls, F.lit(max(partitions_of(left.sparkSession), 2))).otherwise(parts_of(columns, hot))
+    l = left.withColumn("__salt", F.when(parts > 1, F.pmod(F.xxhash64(*salt_on), parts)).otherwise(F.lit(0)).cast("int"))
     if hot:
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        r = right.withColumn("__salt", F.explode(F.when(is_hot([F.col(c) for c in hot_on], hot), every).otherwise(F.array(F.lit(0)))))
+        r = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), parts_of(columns, hot) - 1)))
     else:
         r = right.withColumn("__salt", F.lit(0))
     keys = [*on, "__salt"]

@@ -114,10 +114,16 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def company_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Versions of every company of the hub: (company, version_no, valid_from, valid_to, attributes…)."""
+    """Versions of every company of the hub: (company, version_no, valid_from, valid_to, attributes…).
+
+    Statements are reduced to the latest per hash key and day before they meet the hub, so that a company with many
+    rows is small when it is joined.
+    """
     hub = table(spark, folder, "hub_empresa").select(F.col("hub_empresa_hk").alias("hk"), company_key(F.col("cnpj_basico")).alias("company")).dropna().distinct()
-    said = table(spark, folder, "sat_empresa_dados").select(F.col("hub_empresa_hk").alias("hk"), "applied_date", "load_date", *history_content_columns())
-    history = attribute_history(said.join(hub, "hk"), "company", "applied_date", F.unix_micros("load_date"), {c: F.col(c) for c in history_content()})
+    state = F.struct(F.unix_micros("load_date").alias("loaded"), *history_content_columns())
+    daily = table(spark, folder, "sat_empresa_dados").filter("hub_empresa_hk is not null and applied_date is not null").groupBy(F.col("hub_empresa_hk").alias("hk"), "applied_date").agg(F.max(state).alias("said"))
+    said = daily.join(hub, "hk").select("company", "applied_date", "said.*")
+    history = attribute_history(said, "company", "applied_date", F.col("loaded"), {c: F.col(c) for c in history_content()})
     return history.withColumnRenamed("entity", "company")
 
 
@@ -165,7 +171,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     ).filter(F.col("least_payer_sk").isNotNull())
     role = lambda r: F.struct(F.lit(r).alias("party_role"), F.col(r).alias("company"), F.col(f"least_{r}_sk").alias("least"), F.col(f"most_{r}_sk").alias("most"))
     roles = one.select("id", "other_id", "at", F.inline(F.array(role("payer"), role("payee"))))
-    known = asof_join(roles, _versions_with_keys(spark, folder), "company", "at", first=first, last=last, days=BUCKET_DAYS, hot=[h for h in hot if h[0] is not None], salt_on=["id", "other_id"])
+    known = asof_join(roles, _versions_with_keys(spark, folder), "company", "at", first=first, last=last, days=BUCKET_DAYS, hot=hot, salt_on=["id", "other_id"])
     ghost = (F.col("least") == -1) & (F.col("most") == -1)
     held = F.coalesce(F.array_contains("right_keys", F.col("least")) & F.array_contains("right_keys", F.col("most")), F.lit(False))
     right = F.when(F.col("valid_from").isNull(), ghost).otherwise(held)

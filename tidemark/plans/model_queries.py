@@ -225,7 +225,7 @@ def customer_asof(spark, folder):
     versions = gold_intervals(changes)
     hot, span = hot_keys(orders, ["hk"])
     edge = events.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
-    known = asof_join(events, versions, "hk", "at", first=edge["a"] or 0, last=edge["b"] or 0, days=128, hot=[h for h in hot if h[0] is not None], salt_on=["l_orderkey", "l_linenumber"])
+    known = asof_join(events, versions, "hk", "at", first=edge["a"] or 0, last=edge["b"] or 0, days=128, hot=hot, salt_on=["l_orderkey", "l_linenumber"])
     cents = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).cast("long")
     return known.groupBy(F.coalesce("status", F.lit("(none yet)")).alias("status")).agg(F.count(F.lit(1)).alias("lines"), F.sum(cents).alias("revenue_cents"))
 
