@@ -80,3 +80,9 @@ def test_canonical_values(spark):
     df = spark.createDataFrame([("12.345.678/0001-90", "1.234,50", " a  b "), ("\t345", "0001234.50", "A B"), ("", "0,00", None), (None, None, ""), ("RAZAO", " ", "x")], "k string, c string, t string")
     got = [tuple(r) for r in df.select(identity.company_text(identity.company_key(F.col("k"))), identity.amount(F.col("c")), identity.attribute(F.col("t"))).collect()]
     assert got == [("12345678", "123450", "A B"), ("00000345", "123450", "A B"), (None, "0", ""), (None, "", ""), (None, "", "X")]
+
+
+def test_check_digits(spark):
+    known = [("112223330001", "81"), ("000000000001", "91"), ("11222333000", None), ("11222333000x", None), (None, None)]
+    df = spark.createDataFrame(known, "t string, want string")
+    assert all(r.got == r.want for r in df.select("want", identity.check_digits(F.col("t")).alias("got")).collect())

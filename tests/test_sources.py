@@ -107,7 +107,22 @@ def test_registry_from_archive_to_vault(spark, tmp_path):
     assert (first["hub_empresa"].appended, first["sat_empresa_dados"].appended) == (2, 3) and (again["hub_empresa"].appended, again["sat_empresa_dados"].appended) == (0, 0)
     with pytest.raises(jobs.JobRefused):
         jobs.vault_job(spark, "vault_empresa", load_date="yesterday")
-    for t in ("hub_empresa", "sat_empresa_dados"):
+    build = lambda name: jobs.gold_job(spark, name, load_date="2026-08-03T00:00:00Z").run()
+    assert build("gold_company")["dim_company"] == 4 and build("gold_company")["dim_company"] == 0
+    store.append(spark.createDataFrame([("0" * 15 + str(i), "2026-07-05T10:00:00.000Z", "2026-07-05T10:00:01.000Z", "00000001", k, "10.00", "BRL", "PIX", "s") for i, k in enumerate(("00000002", "99999999"))], "transaction_id string, event_time string, emitted_at string, payer_cnpj_basico string, payee_cnpj_basico string, amount string, currency string, payment_method string, _record_source string"), "job_payments")
+    store.append(spark.createDataFrame([("2026-07-01", "USD", "2026-07-01 13:00:00", "5.0", "5.1")], "quote_date string, currency string, data_hora_cotacao string, cotacao_compra string, cotacao_venda string"), "bronze_ptax")
+    keep = spark.table("bronze_payments") if store.table_exists(spark, "bronze_payments") else None
+    if keep is not None:
+        keep.write.saveAsTable("payments_kept")
+        spark.sql("DROP TABLE bronze_payments")
+    spark.table("job_payments").write.saveAsTable("bronze_payments")
+    conformed = build("gold_conformed")
+    assert (conformed["dim_date"], conformed["dim_channel"], conformed["dim_currency"]) == (30, 2, 2)
+    fact = build("gold_fact")["fact_payment"]
+    assert fact["appended"] == 2 and fact["unresolved"] == {"payer_company_sk": 0, "payee_company_sk": 1} and set(fact["orphans"].values()) == {0}
+    with pytest.raises(jobs.JobRefused):
+        build("gold_nothing")
+    for t in ("hub_empresa", "sat_empresa_dados", "dim_company", "dim_date", "dim_channel", "dim_currency", "fact_payment", "bronze_payments", "bronze_ptax"):
         spark.sql(f"DROP TABLE {t}")
 
 
@@ -255,6 +270,14 @@ def test_downloads_resume_and_must_be_whole(tmp_path):
     assert WebDav("http://x", lambda *a: Response(207, {}, [listing])).list_dir("p") == [Remote("b.zip", 5)]
 
 
+def test_parts_are_all_there_or_none_is_fetched(tmp_path):
+    listing = b'<d:multistatus xmlns:d="DAV:"><d:response><d:href>/p/a.zip</d:href><d:propstat><d:prop><d:getcontentlength>3</d:getcontentlength></d:prop></d:propstat></d:response></d:multistatus>'
+    dav = WebDav("http://x", lambda method, url, headers: Response(207, {}, [listing]) if method == "PROPFIND" else Response(200, {}, [b"abc"]))
+    assert [p.read_bytes() for p in extraction.download_parts(dav, "p", ["a.zip"], tmp_path)] == [b"abc"]
+    with pytest.raises(ExtractionRefused):
+        extraction.download_parts(dav, "p", ["a.zip", "b.zip"], tmp_path)
+
+
 def test_quotes():
     day = dt.date(2026, 6, 1)
     body = lambda *q: json.dumps({"value": [{"cotacaoCompra": c, "cotacaoVenda": v, "dataHoraCotacao": t} for c, v, t in q]})

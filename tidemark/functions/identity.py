@@ -42,3 +42,22 @@ def amount(text: Column) -> Column:
     """Amount text (decimal mark and two digits at its end) as digits of its hundredths, null becomes blank."""
     bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^0-9-]", "")
     return F.regexp_replace(bare, r"\A(-?)0+(?=[0-9])", "$1")
+
+
+#: Weights of the two check digits of a full fourteen-digit key. (fixed values)
+FIRST_WEIGHTS = (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+SECOND_WEIGHTS = (6, *FIRST_WEIGHTS)
+
+
+def check_digits(twelve: Column) -> Column:
+    """The two check digits (modulo 11) of a key's first twelve digits; null unless there are exactly twelve."""
+
+    def digit(text: Column, weights: tuple[int, ...]) -> Column:
+        total = F.lit(0)
+        for i, w in enumerate(weights):
+            total = total + F.substring(text, i + 1, 1).cast("int") * w
+        rest = total % 11
+        return F.when(rest < 2, F.lit("0")).otherwise((11 - rest).cast("string"))
+
+    first = digit(twelve, FIRST_WEIGHTS)
+    return F.when(twelve.rlike(r"\A[0-9]{12}\z"), F.concat(first, digit(F.concat(twelve, first), SECOND_WEIGHTS)))

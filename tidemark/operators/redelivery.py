@@ -44,22 +44,23 @@ def absorb(batch: DataFrame, seen: DataFrame | None = None, seen_other: DataFram
     the malformed identifiers so far (other). One row per identifier: accepted is 1 if no seen range covers its
     number (or its text is new), else 0; redelivered is the number of deliveries that are not accepted.
 
-    Deliveries of one number are counted before the shuffle, so a number that holds a third of all rows costs one
-    row per task. Rows with neither number nor text have no identity and are left out. An empty batch gives no rows.
+    Deliveries of one identifier are counted before the shuffle, so a number that holds a third of all rows costs one
+    row per task. Then numbers and seen ranges of a block are swept in order: a number is covered if a range that
+    began before it reaches it. Rows with neither number nor text have no identity and are left out. An empty batch
+    gives no rows.
     """
     counted = batch.filter(F.col("number").isNotNull() | F.col("other").isNotNull()).groupBy("producer", "number", "other").agg(F.count(F.lit(1)).alias("deliveries"))
-    if seen is None and seen_other is None:
-        return counted.withColumns({"accepted": F.lit(1), "redelivered": F.col("deliveries") - 1})
-    covered, known = F.lit(False), F.lit(False)
+    items = counted.select("producer", _block(F.col("number")).alias("block"), "other", F.col("number").alias("lo"), F.col("number").alias("hi"), "deliveries", F.lit(0).alias("seen"))
+    none = F.lit(0).cast("long").alias("deliveries")
     if seen is not None:
-        ranges = seen.select(F.col("producer").alias("__p"), F.col("block").alias("__b"), "lo", "hi")
-        counted = counted.join(ranges, (F.col("producer") == F.col("__p")) & (_block(F.col("number")) == F.col("__b")) & (F.col("number") >= F.col("lo")) & (F.col("number") <= F.col("hi")), "left")
-        covered = F.col("lo").isNotNull()
+        items = items.unionByName(seen.select("producer", "block", F.lit(None).cast("string").alias("other"), "lo", "hi", none, F.lit(1).alias("seen")))
     if seen_other is not None:
-        counted = counted.join(seen_other.select(F.col("other").alias("__o")).distinct(), F.col("other") == F.col("__o"), "left")
-        known = F.col("__o").isNotNull()
-    accepted = F.when(covered | known, F.lit(0)).otherwise(F.lit(1))
-    return counted.withColumn("accepted", accepted).select("producer", "number", "other", "deliveries", "accepted", (F.col("deliveries") - F.col("accepted")).alias("redelivered"))
+        void = lambda name, kind: F.lit(None).cast(kind).alias(name)
+        items = items.unionByName(seen_other.select(void("producer", "int"), void("block", "long"), "other", void("lo", "long"), void("hi", "long"), none, F.lit(1).alias("seen")).distinct())
+    before = Window.partitionBy("producer", "block", "other").orderBy("lo", F.desc("seen")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.when(F.col("other").isNull(), F.max("hi").over(before) >= F.col("lo")).otherwise(F.max("seen").over(before) == 1)
+    swept = items.withColumn("accepted", F.when(F.coalesce(reached, F.lit(False)), 0).otherwise(1)).filter("seen = 0")
+    return swept.select("producer", F.col("lo").alias("number"), "other", "deliveries", "accepted", (F.col("deliveries") - F.col("accepted")).alias("redelivered"))
 
 
 def _close_up(ranges: DataFrame, bits: int) -> DataFrame:

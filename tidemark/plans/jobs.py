@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import dataops, vault
+from tidemark.functions.times import day_of
+from tidemark.operators import dataops, gold, vault
 from tidemark.operators.governance import assert_revision
 from tidemark.operators.promote import PromoteRefused, gate, promote_batch
 from tidemark.operators.specs import MODEL, Effectivity, Hub, Link, Reference, Satellite
@@ -170,6 +171,35 @@ def vault_job(spark: SparkSession, job: str, *, load_date: str, months: list[str
     return Job(job, tasks)
 
 
+def gold_job(spark: SparkSession, job: str, *, load_date: str, revision: tuple[str | None, str | None] = (None, None)) -> Job:
+    """Builds of one gold job from the vault's and bronze's tables: conformed, company, establishment or fact."""
+    at = F.lit(required_instant(load_date)).cast("timestamp")
+    t = spark.table
+    scd2 = lambda: gold.scd2_rows(t("sat_empresa_dados"), t("hub_empresa"), "hub_empresa_hk", ["cnpj_basico"], list(MODEL["sat_empresa_dados"].payload), "company_sk", at)
+    days = lambda: gold.covered_span(t("bronze_payments").select(day_of(F.col("event_time"))), t("sat_empresa_dados").select("applied_date"))
+    members = lambda column, key: gold.load_conformed(gold.enumerated_rows(t("bronze_payments"), column, key), f"dim_{key.removesuffix('_key')}", key)
+
+    def fact():
+        payments = t("bronze_payments")
+        rows = gold.fact_rows(payments, t("dim_company"), gold.ptax_intervals(t("bronze_ptax")), at)
+        keys = {"payer_company_sk": ("dim_company", "company_sk"), "payee_company_sk": ("dim_company", "company_sk"), "event_date_key": ("dim_date", "date_key"), "channel_key": ("dim_channel", "channel_key"), "currency_key": ("dim_currency", "currency_key")}
+        return gold.load_fact(rows, "fact_payment", payments, {c: (t(d), k) for c, (d, k) in keys.items() if spark.catalog.tableExists(d)})
+
+    def point_in_time():
+        satellites = {n: t(n) for n in ("sat_estabelecimento_dados", "sat_estabelecimento_endereco")}
+        return gold.load_pit(gold.pit_rows(t("hub_estabelecimento"), "hub_estabelecimento_hk", satellites), "pit_estabelecimento", "hub_estabelecimento_hk")
+
+    builds: dict[str, list[Task]] = {
+        "gold_conformed": [Task("dim_date", lambda: gold.load_conformed(gold.calendar_rows(spark, *days()), "dim_date", "date_key"), ("guard",)), Task("dim_channel", lambda: members("payment_method", "channel_key"), ("guard",)), Task("dim_currency", lambda: members("currency", "currency_key"), ("guard",))],
+        "gold_company": [Task("dim_company", lambda: gold.load_scd2(scd2(), "dim_company", "company_sk"), ("guard",))],
+        "gold_establishment": [Task("pit_estabelecimento", point_in_time, ("guard",))],
+        "gold_fact": [Task("fact_payment", fact, ("guard",))],
+    }
+    if job not in builds:
+        raise JobRefused(f"{job!r} is none of {sorted(builds)}")
+    return Job(job, [guard(*revision), *builds[job]])
+
+
 def dataops_job(spark: SparkSession, today=None) -> Job:
     """Reconciliation and freshness views over whatever sources are landed."""
 

@@ -89,6 +89,10 @@ INSTANTS = f"i AS (SELECT {_id('transaction_id')} AS id, epoch_us({_instant('eve
 _NATION = "CASE c_nationkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || chr(9) || ' ' ELSE CAST(c_nationkey AS VARCHAR) END"
 
 
+def _weighted(text: str, weights: tuple[int, ...]) -> str:
+    return " + ".join(f"CAST({text}[{i + 1}] AS INTEGER) * {w}" for i, w in enumerate(weights))
+
+
 def oracle_sql() -> dict[str, str]:
     hk = _hash("cnpj_basico")
     first = "SELECT {c}, record_source FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY m, record_source NULLS FIRST) AS n FROM {t}) WHERE n = 1"
@@ -168,6 +172,13 @@ SELECT r.run_id, r.job_id, j.job_name, r.job_run_id, r.task_key, CAST(row_number
 FROM runs r CROSS JOIN w LEFT JOIN jobs j ON j.job_id = r.job_id LEFT JOIN said s ON s.run_id = r.run_id""",
         "snapshot_diff_orders": """WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m') AS m, min(o_orderstatus) AS s FROM orders GROUP BY 1, 2), a AS (SELECT * FROM o WHERE m = '1997-01'), b AS (SELECT * FROM o WHERE m = '1997-02')
 SELECT coalesce(a.k, b.k) AS key, '1997-02' AS period, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.s <> b.s""",
+        "watermark_misses": f"""WITH {REGISTRY}, r AS (SELECT *, row_number() OVER (PARTITION BY cnpj_basico, _snapshot_month ORDER BY _ingested_at DESC) AS n FROM accepted WHERE _snapshot_month IN ('2027-06', '2027-07')),
+v AS (SELECT cnpj_basico AS k, _snapshot_month AS m, concat_ws('|', {', '.join(f"coalesce({c}, '')" for c in _SAT)}) AS v FROM r WHERE n = 1), a AS (SELECT * FROM v WHERE m = '2027-06'), b AS (SELECT * FROM v WHERE m = '2027-07'),
+c AS (SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v)
+SELECT change_kind, count(*) AS missed FROM c WHERE k NOT IN (SELECT cnpj_basico FROM accepted WHERE _snapshot_month = '2027-07' AND epoch_us(_ingested_at) > 1815361200000000) GROUP BY 1""",
+        "full_keys": f"""WITH h AS (SELECT DISTINCT cnpj_basico, cnpj_basico || '0001' AS t FROM hub_empresa),
+f AS (SELECT *, ({_weighted('t', (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2))}) % 11 AS r FROM h), g AS (SELECT *, t || CASE WHEN r < 2 THEN 0 ELSE 11 - r END AS u FROM f), s AS (SELECT *, ({_weighted('u', (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2))}) % 11 AS q FROM g)
+SELECT cnpj_basico, u || CASE WHEN q < 2 THEN 0 ELSE 11 - q END AS cnpj FROM s""",
         "grant_plan": """WITH o AS (SELECT n_name AS principal, 't' || n_regionkey AS object, n_nationkey % 4 <> 0 AS revocable FROM nation WHERE n_nationkey % 3 <> 0), r AS (SELECT n_name AS principal, 't' || n_regionkey AS object FROM nation WHERE n_nationkey % 2 = 0)
 SELECT coalesce(o.principal, r.principal) AS principal, coalesce(o.object, r.object) AS object, CASE WHEN o.principal IS NULL THEN 'grant' WHEN o.revocable THEN 'revoke' ELSE 'escalate' END AS action FROM o FULL JOIN r ON o.principal = r.principal AND o.object = r.object WHERE o.principal IS NULL OR r.principal IS NULL""",
         "masked_projection": "SELECT s_suppkey, CASE WHEN s_name IS NOT NULL THEN '***' END AS s_name, s_nationkey, s_acctbal FROM supplier",

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.identity import company_key, company_text, message_id
+from tidemark.functions.identity import check_digits, company_key, company_text, message_id
 from tidemark.functions.keys import hash_key, zero_padded
 from tidemark.functions.times import event_micros, ref_date_of_file, token_month
 from tidemark.operators import dataops, gold, governance, quality, vault
@@ -21,7 +21,7 @@ from tidemark.operators.asof import asof_join
 from tidemark.operators.promote import PromoteRefused, plan_promotion
 from tidemark.operators.redelivery import one_of_each
 from tidemark.operators.skew import hot_keys
-from tidemark.operators.snapshotdiff import snapshot_changes
+from tidemark.operators.snapshotdiff import missed_by_watermark, snapshot_changes
 from tidemark.operators.specs import Hub, KeyColumn, Link, LinkEnd, Satellite
 from tidemark.plans.tables import table
 from tidemark.session import cut, shared_folder
@@ -36,6 +36,8 @@ PAYER_PARTNER = Link("link_payer_partner", "link_payer_partner_hk", (LinkEnd("hu
 #: Day as of which freshness is stated, so that the result doesn't change with the calendar.
 TODAY = dt.date(2027, 9, 1)
 HOUR_MS = 3_600_000
+#: Instant after which a watermark extract would begin: 2027-07-12T03:00:00Z.
+SINCE_US = 1_815_361_200_000_000
 
 
 def _registry(spark: SparkSession, folder: str) -> DataFrame:
@@ -369,6 +371,23 @@ def snapshot_diff_orders(spark, folder):
     return snapshot_changes(rows, F.col("o_custkey"), F.col("m"), [F.coalesce("s", F.lit(""))], F.lit(0), ["1997-01", "1997-02"])
 
 
+def watermark_misses(spark, folder):
+    """Changes of July that an extract by time of ingest would miss, were it taken from the middle of the deliveries on, per kind."""
+    rows = _accepted(spark, folder).filter("_snapshot_month in ('2027-06', '2027-07')")
+    content = [F.coalesce(F.col(c), F.lit("")) for c in COMPANY_DATA.payload]
+    changes = snapshot_changes(rows, F.col("cnpj_basico"), F.col("_snapshot_month"), content, F.unix_micros("_ingested_at"), ["2027-06", "2027-07"])
+    july = rows.filter("_snapshot_month = '2027-07'")
+    missed = missed_by_watermark(changes, july, F.col("cnpj_basico"), F.unix_micros("_ingested_at"), F.lit(SINCE_US))
+    return missed.groupBy("change_kind").agg(F.count(F.lit(1)).alias("missed"))
+
+
+def full_keys(spark, folder):
+    """Full fourteen-digit keys of the hub's companies, with their check digits."""
+    hub = table(spark, folder, "hub_empresa").select("cnpj_basico").distinct()
+    twelve = F.concat("cnpj_basico", F.lit("0001"))
+    return hub.select("cnpj_basico", F.concat(twelve, check_digits(twelve)).alias("cnpj"))
+
+
 def grant_plan(spark, folder):
     """What to grant, revoke or escalate: rights observed on nations against a roster by region."""
     n = table(spark, folder, "nation")
@@ -457,7 +476,7 @@ def generated_stream(spark, folder):
 QUERIES = (
     dq_classify, dq_tally, dq_overlap, dq_ptax, hash_keys, hub_company, hub_company_increment, link_payer_payee, link_payer_partner, sat_changed_rows, sat_incremental, observation_ledger, effectivity_windows, reference_pick,
     scd2_company, xxhash_injective, dim_calendar, dim_channel, pit_customer, pit_rows_per_as_of, customer_asof, fact_dedup, fx_intervals, fx_resolution, fx_coverage, fact_payment_rows, role_unresolved, orphan_keys,
-    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
+    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, watermark_misses, full_keys, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
 )
 
 

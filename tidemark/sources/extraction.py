@@ -203,3 +203,12 @@ def consistent_snapshot(connection, table: str, columns: Sequence[str], key: str
 def changed_since(connection, table: str, key: str, watermark: str, since: str) -> list[str]:
     """Keys a watermark extract would deliver; kept to measure what it misses against the snapshots' difference."""
     return [r[0] for r in connection.execute(f"SELECT {key}::text FROM {table} WHERE {watermark} > '{since}' ORDER BY 1").fetchall()]
+
+
+def download_parts(dav: WebDav, path: str, names: Sequence[str], into: Path) -> list[Path]:
+    """Downloads the named files of a directory, each with the size its listing states; a missing one is refused first."""
+    listed = {r.name: r.size for r in dav.list_dir(path)}
+    missing = [n for n in names if n not in listed]
+    if missing:
+        raise ExtractionRefused(f"{path} lacks {missing}")
+    return [dav.download(f"{path.rstrip('/')}/{n}", into / n, listed[n]) for n in names]
