@@ -40,6 +40,9 @@ LEAST_RANKED = 200
 
 _WORD = re.compile(r"\w+")
 _ODD = re.compile(r"[^\w\s]+|\d+")
+#: Text of Latin letters whose only marks and digits are ASCII, dashes and quotation marks aside.
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿĀ-ſ–—‘’“”…\xa0]*")
+_ASCII_ODD = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalpha() and chr(b) != "_")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _ENDED = re.compile(r"[.!?:;…][\"'”’»)\]]*\Z")
 _MARKER = re.compile(r"[\s>]*(?:[-*•+–—·]+\s|\[[ x]?\]|\(?\d{1,3}\s*[.)\-–:]\s|\(?[a-z]\)\s|#+\s)")
@@ -89,6 +92,14 @@ def _solid(text: str) -> int:
     return len("".join(text.split()))
 
 
+def _odd(line: str) -> int:
+    """Digits and symbols of a line; where all else is Latin, dashes and quotation marks do not count."""
+    if line.isascii() or _LATIN.fullmatch(line):
+        raw = line.encode()
+        return len(raw) - len(raw.translate(None, _ASCII_ODD))
+    return len("".join(_ODD.findall(line)))
+
+
 def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
     """The statistics of a text, unrounded, and the language its common words speak for, if they do.
 
@@ -97,18 +108,16 @@ def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
     """
     words: list[str] = []
     common: list[str] = []
-    solid = symbols = digits = lines = ended = running = 0
+    solid = lines = ended = running = 0
     for paragraph in _PARAGRAPH.split(text.lower()):
         kept = []
         for line in paragraph.split("\n"):
             own = _solid(line)
             if not own:
                 continue
-            odd = "".join(_ODD.findall(line))
-            number = sum(map(str.isdigit, odd))
-            solid, symbols, digits, lines = solid + own, symbols + len(odd) - number, digits + number, lines + 1
+            solid, lines = solid + own, lines + 1
             ended += bool(_ENDED.search(line.rstrip()))
-            if _structured(line, own, len(odd)):
+            if _structured(line, own, _odd(line)):
                 some = _WORD.findall(line)
                 words += some
                 common += [w for w in some if w in _ANY]
@@ -127,13 +136,14 @@ def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
                 running += _solid(unit)
             words += some
             common += known
-    n = len(words)
+    n, joined = len(words), "".join(words)
+    digits = sum(map(joined.count, "0123456789"))
     by = {lang: sum(map(own.__contains__, common)) for lang, own in _COMMON.items()}
     best = max(by, key=by.get)
     found = {
         "words": n,
-        "word_length": len("".join(words)) / n if n else 0.0,
-        "symbol_share": symbols / solid if solid else 0.0,
+        "word_length": len(joined) / n if n else 0.0,
+        "symbol_share": (solid - len(joined)) / solid if solid else 0.0,
         "digit_share": digits / solid if solid else 0.0,
         "ended_lines": ended / lines if lines else 0.0,
         "common_words": by[best] / n if n else 0.0,
