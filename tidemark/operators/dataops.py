@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import Path, PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import date_of, utc_day
 from tidemark.store import table_exists
 
 #: Verdicts and statuses. (fixed values)
@@ -130,7 +131,7 @@ def freshness(measures: DataFrame, cadences: Sequence[Cadence], today=None) -> D
     spark = measures.sparkSession
     declared = spark.createDataFrame([(c.source, c.kind, c.days, c.note) for c in cadences], "source string, cadence_kind string, expected_every_days int, cadence_note string")
     day = F.lit(today).cast("date") if today else F.current_date()
-    aged = measures.join(F.broadcast(declared), "source").withColumns({"pipeline_age_days": F.datediff(day, F.to_date("last_ingested_at")), "source_age_days": F.datediff(day, F.col("last_source_date"))})
+    aged = measures.join(F.broadcast(declared), "source").withColumns({"pipeline_age_days": F.datediff(day, date_of(utc_day(F.unix_micros("last_ingested_at")))), "source_age_days": F.datediff(day, F.col("last_source_date"))})
     kind = F.col("cadence_kind")
     status = F.when(kind == "paused", PAUSED).when(F.col("last_ingested_at").isNull(), NEVER).when(kind == "no_source_axis", NO_AXIS).when(kind == "undeclared", NO_CADENCE)
     status = status.when(F.col("last_source_date").isNull(), NO_DATE).when(F.col("source_age_days") > F.col("expected_every_days"), OVERDUE).otherwise(WITHIN)
@@ -155,8 +156,6 @@ def task_telemetry(timeline: DataFrame, jobs: DataFrame, history: DataFrame) ->
     edges = F.broadcast(history.agg(F.min("end_time").alias("__oldest"), F.max("end_time").alias("__newest")))
     joined = runs.join(edges, F.lit(True), "left").join(names, "job_id", "left").join(said, "run_id", "left")
     label = F.when(F.col("statements").isNotNull(), MEASURED).when(F.col("__newest").isNull() | (F.col("ended_at") > F.col("__newest")), NOT_YET).when(F.col("ended_at") < F.col("__oldest"), TOO_OLD).otherwise(NONE_ATTRIBUTED)
-    from pyspark.sql import Window
-
     attempt = F.row_number().over(Window.partitionBy("job_run_id", "task_key").orderBy("started_at"))
     return joined.withColumns({"attempt": attempt, "sql_telemetry": label}).drop("__oldest", "__newest")
 

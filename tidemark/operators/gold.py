@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.identity import message_id
-from tidemark.functions.times import DAY_US, day_of, event_micros, instant_literal, published_instant
+from tidemark.functions.times import date_of, day_of, event_micros, instant_literal, midnight, published_instant, utc_day
 from tidemark.operators.asof import asof_join, bucket_of
 from tidemark.operators.redelivery import one_of_each
 from tidemark.operators.skew import hot_keys
@@ -44,7 +44,7 @@ def scd2_rows(satellite: DataFrame, hub: DataFrame, hash_key: str, keys: Sequenc
     surrogate key is a hash of the business key and the applied date.
     """
     w = Window.partitionBy(hash_key).orderBy("applied_date")
-    at = F.col("applied_date").cast("timestamp")
+    at = F.timestamp_micros(midnight(F.col("applied_date")))
     bounded = satellite.join(hub.select(hash_key, *keys).dropDuplicates([hash_key]), hash_key).withColumns({"__before": F.lag("applied_date").over(w), "__next": F.lead(at).over(w)})
     versions = bounded.select(
         F.xxhash64(*keys, F.col("applied_date")).alias(surrogate), *keys, *payload,
@@ -220,13 +220,13 @@ def with_rates(events: DataFrame, intervals: DataFrame, at: str, currency: str,
         hot, _ = hot_keys(foreign, ["__fx_currency"])
         joined = asof_join(foreign, quotes, "__fx_currency", at, first=first, last=last, days=days, hot=hot, salt_on=events.columns)
     own = F.col(currency) == reporting
-    event_day = F.date_from_unix_date(((F.col(at) - F.pmod(F.col(at), F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))
+    event_day = date_of(utc_day(F.col(at)))
     return joined.withColumns({"fx_rate": F.when(own, F.lit(1).cast(RATE)).otherwise(F.col("rate")), "fx_rate_date": F.when(own, event_day).otherwise(F.col("quote_date"))}).drop("__fx_currency", "rate", "quote_date", "valid_from", "valid_to")
 
 
 def fx_coverage(rated: DataFrame, at: str, last_published: int | None = None) -> dict:
     """Events without a rate (to be refused), beyond the last quote, and the widest reach back in days (to be reported)."""
-    day = F.date_from_unix_date(((F.col(at) - F.pmod(F.col(at), F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))
+    day = date_of(utc_day(F.col(at)))
     r = rated.agg(F.count(F.when(F.col("fx_rate").isNull(), 1)).alias("unresolved"), F.count(F.when(F.col(at) > F.lit(last_published), 1)).alias("beyond"), F.max(F.datediff(day, F.col("fx_rate_date"))).alias("widest")).first()
     return r.asDict()
 
@@ -274,7 +274,7 @@ def fact_rows(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, l
         rated = asof_join(rated, own, column, "__at", first=first, last=last, days=64, hot=hot, salt_on=["transaction_id"]).drop("valid_from", "valid_to")
     return rated.select(
         *(F.coalesce(k, F.lit(GHOST).cast("long")).alias(k) for k in fact.roles),
-        date_key(F.date_from_unix_date(((F.col("__at") - F.pmod("__at", F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))).alias("event_date_key"), date_key(F.col("fx_rate_date")).alias("fx_rate_date_key"),
+        date_key(date_of(utc_day(F.col("__at")))).alias("event_date_key"), date_key(F.col("fx_rate_date")).alias("fx_rate_date_key"),
         F.xxhash64("payment_method").alias("channel_key"), F.xxhash64("currency").alias("currency_key"), "transaction_id",
         F.col("__amount").alias("amount"), "fx_rate", converted(F.col("__amount"), F.col("fx_rate")).alias("amount_brl"), "event_time",
         load_date.alias("load_date"), F.lit(record_source).alias("record_source"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,8 +73,6 @@ def tagged(rows: DataFrame, contract: str) -> DataFrame:
 
 def assert_revision(expected: str, stamped: str | None) -> str:
     """Refuses to run other code than the revision expected; unstamped, dirty or abbreviated ids are none."""
-    import re
-
     clean = (expected or "").strip().lower()
     if not re.fullmatch(r"[0-9a-f]{40}([0-9a-f]{24})?", clean):
         raise GovernanceRefused(f"{expected!r} is no object id")

@@ -15,18 +15,19 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.identity import check_digits, company_key, company_text, message_id
 from tidemark.functions.keys import hash_key, zero_padded
-from tidemark.functions.times import event_micros, ref_date_of_file, token_month
+from tidemark.functions.times import DAY_US, event_micros, ref_date_of_file, token_month
 from tidemark.operators import dataops, gold, governance, quality, vault
-from tidemark.operators.asof import asof_join
+from tidemark.operators.asof import asof_join, intervals_from_changes
 from tidemark.operators.promote import PromoteRefused, plan_promotion
 from tidemark.operators.redelivery import one_of_each
 from tidemark.operators.skew import hot_keys
 from tidemark.operators.snapshotdiff import missed_by_watermark, snapshot_changes
-from tidemark.operators.specs import Hub, KeyColumn, Link, LinkEnd, Satellite
+from tidemark.operators.specs import Hub, KeyColumn, Link, LinkEnd, Prefix, Satellite
 from tidemark.plans.tables import table
 from tidemark.session import cut, shared_folder
 from tidemark.sources import generator
 from tidemark.sources.contracts import COLUMNS, LandedTable, rules_for
+from tidemark.store import new_rows
 from tidemark.streaming import ingest, measures
 
 COMPANY = Hub("hub_company", "hub_company_hk", (KeyColumn("cnpj_basico", 8),))
@@ -98,8 +99,6 @@ def hub_company_increment(spark, folder):
     """Companies the hub would append from July, given what it holds up to June."""
     rows = _accepted(spark, folder)
     held = vault.hub_candidates(rows.filter(F.col("_snapshot_month") < "2027-07"), COMPANY)
-    from tidemark.store import new_rows
-
     return new_rows(vault.hub_candidates(rows.filter(F.col("_snapshot_month") == "2027-07"), COMPANY), held, ["hub_company_hk"])
 
 
@@ -110,8 +109,6 @@ def _parties(spark, folder):
 
 def link_payer_payee(spark, folder):
     """Who paid whom: a link of the company hub to itself, both ends identifying."""
-    from tidemark.operators.specs import Prefix
-
     link = Link(PAYER_PAYEE.name, PAYER_PAYEE.hash_key, (LinkEnd("hub_company", "payer", key_from=(Prefix("payer", 8),)), LinkEnd("hub_company", "payee", key_from=(Prefix("payee", 8),))))
     return vault.link_candidates(_parties(spark, folder), link, {"hub_company": COMPANY})
 
@@ -224,7 +221,7 @@ def customer_asof(spark, folder):
     micros = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
     events = lines.join(orders, "l_orderkey").select("hk", "l_orderkey", "l_linenumber", micros.alias("at"), "l_extendedprice", "l_discount")
     changes = _customer_satellites(spark, folder)["status"].select("hk", F.unix_date("applied_date").cast("long").alias("day"), "status")
-    versions = gold_intervals(changes)
+    versions = status_intervals(changes)
     hot, span = hot_keys(orders, ["hk"])
     edge = events.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
     known = asof_join(events, versions, "hk", "at", first=edge["a"] or 0, last=edge["b"] or 0, days=128, hot=hot, salt_on=["l_orderkey", "l_linenumber"])
@@ -232,11 +229,8 @@ def customer_asof(spark, folder):
     return known.groupBy(F.coalesce("status", F.lit("(none yet)")).alias("status")).agg(F.count(F.lit(1)).alias("lines"), F.sum(cents).alias("revenue_cents"))
 
 
-def gold_intervals(changes):
+def status_intervals(changes):
     """Half-open intervals in epoch microseconds from changes by day."""
-    from tidemark.functions.times import DAY_US
-    from tidemark.operators.asof import intervals_from_changes
-
     micros = lambda c: F.col(c) * F.lit(DAY_US)
     return intervals_from_changes(changes, ["hk"], "day").select("hk", "status", micros("valid_from").alias("valid_from"), micros("valid_to").alias("valid_to"))
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import ref_date_of_file, ref_date_of_instant
-from tidemark.sources.contracts import COLUMNS, LOOKUP_SUFFIXES, LandedTable, struct_of
+from tidemark.sources.contracts import COLUMNS, LOOKUP_SUFFIXES, MONTH, LandedTable, struct_of
 
 #: Reader options: doubled quotes, line breaks inside quotes, cp1252; JSON Lines in UTF-8. (fixed values)
 CSV_OPTIONS = {"header": "false", "sep": ";", "quote": '"', "escape": '"', "encoding": "cp1252", "multiLine": "true", "mode": "PERMISSIVE"}
@@ -84,10 +86,7 @@ def snapshot_window(spark: SparkSession, name: str, values: list[str] | None, co
 
 
 def checked_values(values: list[str], shape: str | None) -> list[str]:
-    import re
-
-    from tidemark.sources.contracts import MONTH
-
+    """The values, refused unless they are a list of distinct ones of the shape (months by default)."""
     if isinstance(values, str) or not values:
         raise ValueError("name at least one snapshot, as a list")
     bad = [v for v in values if not re.fullmatch(shape or MONTH, v)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,6 @@ def schema_location(root: str, month: str, table: LandedTable) -> str:
 
 
 def require_month(month: str) -> str:
-    import re
-
     if not isinstance(month, str) or not re.fullmatch(MONTH, month):
         raise IngestRefused(f"not a month: {month!r}")
     return month
