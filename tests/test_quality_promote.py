@@ -114,6 +114,15 @@ def test_broken_promises_stop_the_write(spark):
     assert not store.table_exists(spark, "t_bronze2")
 
 
+def test_partitioned_tables_stay_partitioned(spark):
+    df = spark.createDataFrame([("a", "2027-01"), ("b", "2027-02")], "k string, _snapshot_month string")
+    store.append(df, "t_part", ["_snapshot_month"])
+    store.append(df.select("_snapshot_month", "k"), "t_part")
+    assert store.swap(spark.table("t_part").filter("k = 'a'"), "t_part") == 2
+    assert [c.name for c in spark.catalog.listColumns("t_part") if c.isPartition] == ["_snapshot_month"]
+    assert rows(spark.table("t_part")) == [("a", "2027-01"), ("a", "2027-01")]
+
+
 def test_store(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "k int, v string")
     assert store.append_new(df, "t_store", ["k"]) == 2 and store.append_new(df, "t_store", ["k"]) == 0

@@ -68,7 +68,7 @@ def promote_batch(spark: SparkSession, batch_id: str, staging: str, bronze: str,
         good = split(classified)[0]
         for promise in promises:
             assert_none(good.filter(f"({promise}) IS NOT TRUE"), f"rows of {batch_id} break {promise}")
-        append(good, bronze)
+        append(good, bronze, [c for c in ("_snapshot_month",) if c in good.columns])
     return plan
 
 

@@ -43,16 +43,22 @@ def new_rows(candidates: DataFrame, held: DataFrame | None, keys: Sequence[str],
     return candidates.join(there, same, "left_anti")
 
 
-def append(rows: DataFrame, name: str) -> int:
-    """Appends to a table, making it where there is none; the number of rows, counted as they are written."""
+def append(rows: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
+    """Appends to a table, making it where there is none; the number of rows, counted as they are written.
+
+    `partition_by`: columns whose values become directories of a new table, so that scans by them are pruned.
+    """
     spark = rows.sparkSession
-    if table_exists(spark, name):
+    new = not table_exists(spark, name)
+    if not new:
         held = spark.table(name).columns
         if set(held) != set(rows.columns):
             raise WriteRefused(f"{name} has columns {held}, the rows {rows.columns}")
         rows = rows.select(*held)
+        partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").format("parquet").saveAsTable(name)
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
     return seen.get.get("rows") or 0
 
 
@@ -68,11 +74,14 @@ def swap(rows: DataFrame, name: str) -> int:
 
     Zero rows are refused: an empty result is more likely a mistake than a wish.
     """
+    spark = rows.sparkSession
     safe = cut(rows)
     n = safe.count()
     if not n:
         raise WriteRefused(f"refusing to replace {name} by no rows")
-    safe.write.mode("overwrite").format("parquet").saveAsTable(name)
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition] if table_exists(spark, name) else []
+    writer = safe.write.mode("overwrite").format("parquet")
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
     return n
 
 

@@ -78,8 +78,8 @@ def ingest(spark: SparkSession, table: LandedTable, *, root: str, month: str, ba
         # a file is the unit of delivery: one whose rows are there already, from a run that ended before its
         # checkpoint was written, is left out, so every file lands exactly once
         own = batch.sparkSession
-        held = own.table(table.staging).select("_source_file") if table_exists(own, table.staging) else None
-        append(new_rows(batch, held, ["_source_file"]), table.staging)
+        held = own.table(table.staging).filter(F.col("_snapshot_month") == month).select("_source_file") if table_exists(own, table.staging) else None
+        append(new_rows(batch, held, ["_source_file"]), table.staging, ["_snapshot_month"])
 
     query = rows.writeStream.option("checkpointLocation", checkpoint_location(root, month, table)).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
