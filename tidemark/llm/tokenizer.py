@@ -117,6 +117,7 @@ class Merges:
         last = [-1]  # last[i - base]: the last token of the encoding of the prefix of length i
         found = None
         fits, settle = self.fits, 4 * self.longest
+        due = settle
         for block in blocks:
             text = block.decode("latin-1")
             if found is None:
@@ -129,8 +130,9 @@ class Merges:
                     continue  # the one token that fits here is known, or this one would begin in what is emitted
                 if end + 1 == size or fits(last[start], token):
                     last.append(token)
-                    if len(last) > settle:
+                    if len(last) > due:
                         emitted, base, last = self._settled(base, last)
+                        due = len(last) + settle
                         yield from emitted
         i, rest = len(last) - 1, []
         while i > 0:
