@@ -79,6 +79,8 @@ def oracle_sql() -> dict[str, str]:
 n AS (SELECT CAST('0x' || left(id, 4) AS INTEGER) AS producer, CAST('0x' || right(id, 12) AS BIGINT) AS n FROM ids),
 i AS (SELECT producer, n, n - row_number() OVER (PARTITION BY producer ORDER BY n) AS island FROM n)
 SELECT producer, min(n) AS range_from, max(n) AS range_to FROM i GROUP BY producer, island""",
+        "p2_seen_before": f"""WITH p AS (SELECT {_id('transaction_id')} AS id, _snapshot_month >= '2027-04' AS late FROM payments WHERE {_id('transaction_id')} IS NOT NULL)
+SELECT id AS transaction_id, count(*) AS deliveries FROM p WHERE late AND id IN (SELECT id FROM p WHERE NOT late) GROUP BY 1""",
         "p2_messages": f"""SELECT {_SHOWN} FROM (SELECT *, row_number() OVER (PARTITION BY {_id('transaction_id')} ORDER BY {_ORDER}) AS n FROM payments WHERE {_id('transaction_id')} IS NOT NULL) WHERE n = 1
 UNION ALL SELECT {_SHOWN} FROM payments WHERE {_id('transaction_id')} IS NULL""",
         "p3_found": f"{RECORDS} SELECT line_id, reason FROM parsed WHERE reason IS NOT NULL",

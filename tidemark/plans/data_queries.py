@@ -23,6 +23,8 @@ from tidemark.session import cut
 #: Width in days of the time buckets of the as-of join: about two versions of a company fall into one.
 BUCKET_DAYS = 64
 OPEN_END = "2999-12-31"
+#: Month from which `p2_seen_before` takes deliveries as a second batch.
+SECOND_BATCH = "2027-04"
 
 
 def _roles(payer: str, payee: str) -> Column:
@@ -67,10 +69,14 @@ def _decisions(spark: SparkSession, folder: str) -> DataFrame:
     return absorb(deliveries.drop("transaction_id"))
 
 
+def _identifier_text() -> Column:
+    return F.coalesce(identifier(F.col("producer"), F.col("number")), F.col("other"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Identifiers with redeliveries: deliveries of a number that the seen ranges already cover."""
     again = _decisions(spark, folder).filter(F.col("redelivered") > 0)
-    return again.select(F.coalesce(identifier(F.col("producer"), F.col("number")), F.col("other")).alias("transaction_id"))
+    return again.select(_identifier_text().alias("transaction_id"))
 
 
 def p2_seen_ranges(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,6 +85,16 @@ def p2_seen_ranges(spark: SparkSession, folder: str) -> DataFrame:
     return ranges.select("producer", F.col("lo").alias("range_from"), F.col("hi").alias("range_to"))
 
 
+def p2_seen_before(spark: SparkSession, folder: str) -> DataFrame:
+    """Identifiers delivered from April on that the ranges seen up to March cover: the state carried between batches."""
+    rows = table(spark, folder, "payments").select("transaction_id", "_snapshot_month")
+    deliveries = with_sequence(rows, message_id(F.col("transaction_id"))).drop("transaction_id")
+    early, late = deliveries.filter(F.col("_snapshot_month") < SECOND_BATCH).drop("_snapshot_month"), deliveries.filter(F.col("_snapshot_month") >= SECOND_BATCH).drop("_snapshot_month")
+    first = absorb(early)
+    second = absorb(late, merge_ranges(first), first.filter(F.col("other").isNotNull()).select("other"))
+    return second.filter(F.col("accepted") == 0).select(_identifier_text().alias("transaction_id"), "deliveries")
+
+
 def p2_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Exactly one row of each message, its first delivery; rows without identifier all stay."""
     rows = table(spark, folder, "payments")
@@ -179,7 +195,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_seen_ranges, p2_messages, p3_found, p3_rows, p3_edits, p4_found, p5_found, p5_history, p6_found)}
+    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_seen_ranges, p2_seen_before, p2_messages, p3_found, p3_rows, p3_edits, p4_found, p5_found, p5_history, p6_found)}
 
 
 def oracle_sql() -> dict[str, str]:
