@@ -111,6 +111,13 @@ def test_small_vocabulary_with_overlapping_merges():
         assert list(small.encode(text)) == library.encode(text).ids, text
 
 
+def test_characters_are_whole_however_the_ids_are_cut(own):
+    text = "日本語 👩‍💻 ção " * 5
+    for at_once in (1, 2, 3, 7):
+        parts = list(own.decode(own.encode(text), at_once))
+        assert "".join(parts) == text and "�" not in "".join(parts)
+
+
 def test_pieces_rejoin_to_the_text():
     text = " a  b\n\nc　d \x1c e "
     assert "".join(PIECE.findall(text)) == text
@@ -125,5 +132,5 @@ def test_rows(spark, library):
     assert sorted(got, key=str) == sorted(((i, library(t) if t else []) for i, t, _ in data), key=str)
     assert sorted((r.doc_id, r.text) for r in decode_ids(ids, "doc_id", "ids").collect()) == sorted((i, t or "") for i, t, _ in data)
     assert encode_texts(df.limit(0), "doc_id", "text").count() == 0
-    broken = spark.createDataFrame([(1, [447]), (2, None), (3, [10**6])], "doc_id long, ids array<int>")
-    assert [r.text for r in decode_ids(broken, "doc_id", "ids").orderBy("doc_id").collect()][1:] == ["", ""]
+    broken = spark.createDataFrame([(1, [447]), (2, None), (3, [10**6]), (4, [64, None, 65])], "doc_id long, ids array<int>")
+    assert [r.text for r in decode_ids(broken, "doc_id", "ids").orderBy("doc_id").collect()][1:] == ["", "", "ab"]

@@ -18,6 +18,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -232,12 +233,13 @@ class Encoder(dict):
             piece = match.group()
             yield from self._streamed(piece) if len(piece) > LONG_PIECE else array("i", self[piece])
 
-    def decode(self, ids: Iterable[int]) -> Iterator[str]:
-        """Text of ids, as its characters become complete: an incremental UTF-8 decoder keeps the open bytes."""
+    def decode(self, ids: Iterable[int], at_once: int = 4096) -> Iterator[str]:
+        """Text of ids, as its characters become complete: an incremental UTF-8 decoder keeps the open bytes between
+        stretches of `at_once` ids. Unknown ids have no bytes."""
         state = codecs.getincrementaldecoder("utf-8")("replace")
-        sizes = self.merges.bytes
-        for i in ids:
-            yield state.decode(sizes.get(i, b""))
+        of, ids = self.merges.bytes, iter(ids)
+        while stretch := list(islice(ids, at_once)):
+            yield state.decode(b"".join([of.get(i, b"") for i in stretch]))
         yield state.decode(b"", True)
 
 
@@ -295,7 +297,9 @@ def decode_ids(rows: DataFrame, key: str, ids: str, folder: str | None = None, n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary_path(name, folder))
         for batch in batches:
-            texts = ["".join(own.decode(value.as_py() or ())) for value in batch.column(1)]
+            lists = batch.column(1)
+            ids, ends, empty = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist(), lists.is_null().to_pylist()
+            texts = ["" if null else "".join(own.decode(ids[i:j].tolist())) for i, j, null in zip(ends, ends[1:], empty, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
 
     kind = rows.schema[key].dataType.simpleString()
