@@ -82,3 +82,12 @@ def test_what_is_found_is_no_prose(spark):
     data = [(i, PROSE + f" E o arquivo {i} chegou no dia útil.", "pt") for i in range(40)] + [(100 + i, t, "pt") for i, t in enumerate(NOT.values())]
     scored = outlier_scores(text_statistics(spark.createDataFrame(data, "doc_id long, text string, lang string"), "doc_id", "text", "lang"))
     assert sorted(r.doc_id for r in scored.filter(no_prose()).collect()) == [100 + i for i in range(len(NOT))]
+
+
+def test_nothing_is_left_out_where_most_or_all_of_a_language_is_no_prose(spark):
+    prose = [(i, PROSE + f" E o arquivo {i} chegou no dia útil.", "pt") for i in range(90)]
+    copies = [(1000 + i, NOT["bare"], "pt") for i in range(140)]
+    others = [(2000 + i, NOT["list"] + f"\n- arquivo {i}" * (1 + i % 3), "pt") for i in range(70)]
+    for data in (prose + copies + others, copies + others, copies):
+        scored = outlier_scores(text_statistics(spark.createDataFrame(data, "doc_id long, text string, lang string"), "doc_id", "text", "lang"))
+        assert sorted(r.doc_id for r in scored.filter(no_prose()).collect()) == sorted(i for i, _, _ in data if i >= 1000)

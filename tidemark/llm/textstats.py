@@ -226,8 +226,10 @@ def tail_probabilities(stats: DataFrame) -> tuple[DataFrame, list[str]]:
 def outlier_scores(stats: DataFrame) -> DataFrame:
     """`stats` with `score`: the weighted mean surprise over all statistics; about 1 is what chance alone gives.
 
-    The score of a text is at least the weight of one of its statistics times that one's surprise. So a text whose
-    sentence share is under a limit scores no less than 0.42 times minus the logarithm of the share of such texts.
+    And with `examined`, the score from which texts of its group are examined. The score of a text is at least the
+    weight of one of its statistics times that one's surprise. So a text whose sentence share is under PROSE scores
+    no less than 0.42 times minus the logarithm of the share of such texts in its group. `examined` is that bound
+    where it is below EXAMINED: however much of a language is no prose, the score leaves none of it out.
     """
     tails, ranked_alone = tail_probabilities(stats)
     tails = cut(tails)
@@ -237,15 +239,17 @@ def outlier_scores(stats: DataFrame) -> DataFrame:
         own = tails.filter(F.col("statistic") == name).select(F.col("lang").alias("__group"), F.col("value").alias(name), F.col("surprise").alias(f"__{name}"))
         scored = scored.join(F.broadcast(own) if small else own, ["__group", name], "left")
         total = total + F.col(f"__{name}") * WEIGHTS[name]
-    return scored.withColumn("score", total / sum(WEIGHTS.values())).select(*stats.columns, "score")
+    least = tails.filter((F.col("statistic") == "sentence_share") & (F.col("value") < PROSE)).groupBy(F.col("lang").alias("__group")).agg(F.min("surprise").alias("__least"))  # one row a group
+    bound = F.col("__least") * WEIGHTS["sentence_share"] / sum(WEIGHTS.values())
+    scored = scored.join(F.broadcast(least), "__group", "left")
+    return scored.withColumns({"score": total / sum(WEIGHTS.values()), "examined": F.least(F.lit(EXAMINED), bound)}).select(*stats.columns, "score", "examined")
 
 
-#: Outlier score from which a text is examined, and share of running sentences under which it is no prose. By the
-#: bound above the score leaves out no text without sentences unless they are the majority of its language.
+#: Outlier score from which a text is examined at the latest, and share of running sentences under which it is no prose.
 EXAMINED = 0.25
 PROSE = 0.5
 
 
 def no_prose() -> Column:
     """Whether a scored text consists for the most part of something other than running sentences."""
-    return (F.col("score") >= EXAMINED) & (F.col("sentence_share") < PROSE)
+    return (F.col("score") >= F.col("examined")) & (F.col("sentence_share") < PROSE)
