@@ -63,6 +63,26 @@ def test_every_short_skeleton_costs_what_search_finds(length):
         assert bool(edits) == bool(cost or delimiters)
 
 
+def nearest_delimiter_edits(skeleton, wanted):
+    """Least distance to `wanted` fields over all repairs by fewest quote edits, by search."""
+    level = {skeleton}
+    while not any(strict(t) is not None for t in level):
+        level = {t[:i] + '"' + t[i:] for t in level for i in range(len(t) + 1)} | {t[:i] + t[i + 1 :] for t in level for i in range(len(t)) if t[i] == '"'}
+    return min(abs(strict(t) - wanted) for t in level if strict(t) is not None)
+
+
+def test_delimiters_are_counted_in_full_where_quotes_are_repaired():
+    assert parse_skeleton('"x"x' + ";x" * 11, 7)[1:3] == (12, 5)
+    found = parse_skeleton('"x"x' + ";x" * 11, 7)[3]
+    assert found.endswith("-delimiter x5")
+    skeletons = ["".join(t) for n in range(1, 7) for t in itertools.product('";x', repeat=n) if "xx" not in "".join(t)]
+    skeletons += ['"x"x' + ";x" * 6, 'x;"x;x;x;x', ';;;"x"x;;;', '"x;x;x"x;x;x', ';"";x"";"x;;;x']
+    for skeleton in skeletons:
+        for wanted in (1, 3):
+            cost, fields, delimiters, _ = parse_skeleton(skeleton, wanted)
+            assert delimiters == abs(fields - wanted) == nearest_delimiter_edits(skeleton, wanted), (skeleton, wanted)
+
+
 def test_the_stated_edits_repair_the_record():
     for skeleton in ('"x;"x"', '"x"x;x', '"x', 'x;"x"x"x";x', '"";"x""', ';"x"x'):
         cost, fields, _, edits = parse_skeleton(skeleton, 3)

@@ -62,42 +62,46 @@ def _free_fields(skeleton: str) -> int:
 
 
 def _repair(skeleton: str, wanted: int) -> tuple[int, int, str]:
-    """Among the parses with fewest quote edits, one whose field count is nearest `wanted`: (edits, fields, operations)."""
-    top = wanted + 1  # counts beyond this are told apart no more
-    best = {(START, 1): (0, None)}
+    """Among the parses with fewest quote edits, one whose field count is nearest `wanted`: (edits, fields, operations).
+
+    A state has one entry for each field count up to `wanted` and one for all greater counts: of these the least
+    stays the nearest whatever follows, so it is carried as it is and the rest dropped. The states of a token are
+    bounded however many fields the record has.
+    """
+    top = wanted + 1
+    best = {(START, 1): (0, 1, None)}
     layers = []
     for at, token in enumerate(skeleton):
-        ready: dict = {}
-        for key, (cost, _) in best.items():
-            ready.setdefault(key, (cost, (key, "")))
-        for (state, fields), (cost, _) in best.items():
-            to = (STEP['"'][state], fields)
-            if to not in ready or ready[to][0] > cost + 1:
-                ready[to] = (cost + 1, ((state, fields), f"+quote@{at}"))
+        ready: dict = {key: (cost, fields, (key, "")) for key, (cost, fields, _) in best.items()}
+        for (state, count), (cost, fields, _) in best.items():
+            to = (STEP['"'][state], count)
+            if to not in ready or ready[to][:2] > (cost + 1, fields):
+                ready[to] = (cost + 1, fields, ((state, count), f"+quote@{at}"))
         after: dict = {}
-        for (state, fields), (cost, back) in ready.items():
+        for (state, _), (cost, fields, back) in ready.items():
             to = STEP[token][state]
             if to is None:
                 continue
-            key = (to, min(top, fields + (token == ";" and state != QUOTED)))
-            if key not in after or after[key][0] > cost:
-                after[key] = (cost, back)
+            now = fields + (token == ";" and state != QUOTED)
+            key = (to, min(top, now))
+            if key not in after or after[key][:2] > (cost, now):
+                after[key] = (cost, now, back)
         if token == '"':
-            for key, (cost, _) in best.items():
-                if key not in after or after[key][0] > cost + 1:
-                    after[key] = (cost + 1, (key, f"-quote@{at}"))
+            for key, (cost, fields, _) in best.items():
+                if key not in after or after[key][:2] > (cost + 1, fields):
+                    after[key] = (cost + 1, fields, (key, f"-quote@{at}"))
         layers.append(after)
         best = after
     final = {}
-    for (state, fields), (cost, _) in best.items():
-        extra = state == QUOTED
-        found = (cost + extra, abs(fields - wanted), (state, fields), f"+quote@{len(skeleton)}" if extra else "")
+    for key, (cost, fields, _) in best.items():
+        extra = key[0] == QUOTED
+        found = (cost + extra, abs(fields - wanted), fields, key, f"+quote@{len(skeleton)}" if extra else "")
         if not final or found[:2] < final["v"][:2]:
             final["v"] = found
-    cost, _, key, last = final["v"]
-    operations, fields = [last] if last else [], key[1]
+    cost, _, fields, key, last = final["v"]
+    operations = [last] if last else []
     for layer in reversed(layers):
-        key, operation = layer[key][1]
+        key, operation = layer[key][2]
         if operation:
             operations.append(operation)
     return cost, fields, " ".join(reversed(operations))
