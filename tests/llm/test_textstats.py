@@ -91,3 +91,15 @@ def test_nothing_is_left_out_where_most_or_all_of_a_language_is_no_prose(spark):
     for data in (prose + copies + others, copies + others, copies):
         scored = outlier_scores(text_statistics(spark.createDataFrame(data, "doc_id long, text string, lang string"), "doc_id", "text", "lang"))
         assert sorted(r.doc_id for r in scored.filter(no_prose()).collect()) == sorted(i for i, _, _ in data if i >= 1000)
+
+
+def test_statistics_and_ranks_are_of_unrounded_values(spark):
+    data = [(i, "a casa " * (50_000 + 500 * i), "pt") for i in range(2)] + [(10 + i, "palavra " * 5 + "x" * (300 + i), "pt") for i in range(30)]
+    rows = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in outlier_scores(text_statistics(rows, "doc_id", "text", "lang")).collect()}
+    assert [got[i].words for i in (0, 1)] == [100_000, 101_000] and isinstance(got[0].words, int)
+    assert all(got[i].word_length == statistics_of(t)[0]["word_length"] for i, t, _ in data)
+    assert len({got[10 + i].word_length for i in range(30)}) == 30 and len({got[10 + i].score for i in range(14)}) == 14
+    close = [(1, "doc", "pt", 9, 5.0, 0.0, 0.0, 1.0, 0.3, 1.0, 0.4996), (2, "doc", "pt", 9, 5.0, 0.0, 0.0, 1.0, 0.3, 1.0, 0.5)]
+    scored = outlier_scores(spark.createDataFrame(close, "doc_id int, kind string, lang string, words long, " + ", ".join(f"{n} double" for n in list(STATISTICS)[1:])))
+    assert [r.doc_id for r in scored.filter(no_prose()).collect()] == [1]

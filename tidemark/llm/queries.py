@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.leakage import find_leaks, leak_report
 from tidemark.llm.textstats import no_prose, outlier_scores, text_statistics
 from tidemark.llm.tokenizer import decode_ids, encode_texts
-from tidemark.session import cut
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,7 +37,7 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    return outlier_scores(cut(text_statistics(_table(spark, folder, "documents"), "doc_id", "text", "lang")))
+    return outlier_scores(text_statistics(_table(spark, folder, "documents"), "doc_id", "text", "lang"))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,7 +46,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's statistics and outlier score."""
+    """Every document's statistics, unrounded, its outlier score, and the score from which its language is examined."""
     return _scored(spark, folder)
 
 

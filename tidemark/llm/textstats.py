@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import partitions_of
 from tidemark.session import cut
 
 #: Common words by language: articles, prepositions, conjunctions, pronouns, auxiliaries. (fixed values)
@@ -29,8 +30,7 @@ _COMMON = {lang: frozenset(words.split()) for lang, words in COMMON.items()}
 UNKNOWN = "und"
 _ANY = frozenset().union(*_COMMON.values())
 
-#: Statistics, whether low (-1), high (1) or both (0) are odd, and the grid to which they are rounded: the number of
-#: distinct values of each stays bounded however many documents there are.
+#: Statistics, and whether low (-1), high (1) or both (0) are odd.
 STATISTICS = {"words": 0, "word_length": 0, "symbol_share": 1, "digit_share": 1, "ended_lines": -1, "common_words": -1, "distinct_words": 0, "sentence_share": -1}
 LOGARITHMIC = ("words", "word_length")
 #: Weight of each statistic's surprise in the score: running sentences tell prose from the rest most directly.
@@ -154,12 +154,12 @@ def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
 
 
 def rounded(name: str, value: float) -> float:
-    """A statistic on its grid: shares in thousandths, sizes in hundredths of their decimal logarithm."""
+    """A statistic on a grid, for display: shares in thousandths, sizes in hundredths of their decimal logarithm. Nothing is ranked or decided by it."""
     return round(math.log10(1 + value), 2) if name in LOGARITHMIC else round(value, 3)
 
 
 def text_statistics(rows: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """(key, lang, statistics…): one row for each text that isn't null or blank, statistics on their grids.
+    """(key, lang, statistics…): one row for each text that isn't null or blank, statistics unrounded.
 
     lang is the language whose common words the text uses, else the stated one if it is of COMMON, else 'und'. Whole
     texts are read where they lie, in Arrow batches, without a shuffle. Null, empty and blank texts give no row,
@@ -177,11 +177,11 @@ def text_statistics(rows: DataFrame, key: str, text: str, lang: str) -> DataFram
                 said = (stated or "").strip().lower()
                 langs.append(spoken or (said if said in COMMON else UNKNOWN))
                 for name, x in found.items():
-                    values[name].append(rounded(name, x))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(langs, pa.string()), *(pa.array(v, pa.float64()) for v in values.values())], names=[key, "lang", *values])
+                    values[name].append(x)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(langs, pa.string()), *(pa.array(v, pa.int64() if name == "words" else pa.float64()) for name, v in values.items())], names=[key, "lang", *values])
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(F.col(key), F.col(text), F.col(lang)).mapInArrow(run, f"`{key}` {kind}, lang string, " + ", ".join(f"{name} double" for name in STATISTICS))
+    return rows.select(F.col(key), F.col(text), F.col(lang)).mapInArrow(run, f"`{key}` {kind}, lang string, " + ", ".join(f"{name} {'long' if name == 'words' else 'double'}" for name in STATISTICS))
 
 
 def exact_ranks(counts: DataFrame, group: list[str], value: str, n: str = "n", ranges: int = 32) -> DataFrame:
@@ -201,26 +201,31 @@ def exact_ranks(counts: DataFrame, group: list[str], value: str, n: str = "n", r
     return ranked.withColumns({"upto": F.col("__offset") + F.col("__running"), "below": F.col("__offset") + F.col("__running") - F.col(n)}).drop("__range", "__running", "__offset")
 
 
-#: Rows of the table of tail probabilities up to which it is sent to every task; beyond, it is joined by shuffle.
-#: The grids bound it: a language has at most 1001 values of a share and some hundreds of a size.
-SENT_ROWS = 200_000
+#: A value that more than one in so many of its group's documents have is sent to every task with its tail
+#: probability: at most this number of values for each statistic of a language. All others are joined by shuffle.
+FREQUENT = 256
+
+
+def _long(stats: DataFrame, *keep: str) -> DataFrame:
+    """One row for each statistic of a text: (keep…, statistic, value)."""
+    return stats.select(*keep, F.inline(F.array(*(F.struct(F.lit(name).alias("statistic"), F.col(name).cast("double").alias("value")) for name in STATISTICS))))
 
 
 def tail_probabilities(stats: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(lang, statistic, value, surprise), and the languages ranked by themselves; 'und' stands for all documents.
+    """(lang, statistic, value, n, total, surprise), and the languages ranked by themselves; 'und' stands for all documents.
 
-    surprise: minus the logarithm of the share of the group's documents that are at least as odd.
+    surprise: minus the logarithm of the share of the group's documents that are at least as odd. n of the group's
+    `total` documents have the value.
     """
-    long = stats.select("lang", F.inline(F.array(*(F.struct(F.lit(name).alias("statistic"), F.col(name).alias("value")) for name in STATISTICS))))
-    counts = cut(long.groupBy("lang", "statistic", "value").agg(F.count(F.lit(1)).alias("n")))
+    counts = cut(_long(stats, "lang").groupBy("lang", "statistic", "value").agg(F.count(F.lit(1)).alias("n")))
     sizes = counts.filter(F.col("statistic") == "words").groupBy("lang").agg(F.sum("n").alias("n")).collect()  # one row for each of COMMON, and 'und'
     ranked_alone = sorted(r["lang"] for r in sizes if r["lang"] != UNKNOWN and r["n"] >= LEAST_RANKED)
     everyone = counts.groupBy(F.lit(UNKNOWN).alias("lang"), "statistic", "value").agg(F.sum("n").alias("n"))
-    ranked = exact_ranks(counts.filter(F.col("lang").isin(ranked_alone)).unionByName(everyone), ["lang", "statistic"], "value")
+    ranked = exact_ranks(counts.filter(F.col("lang").isin(ranked_alone)).unionByName(everyone), ["lang", "statistic"], "value", ranges=max(32, partitions_of(stats.sparkSession)))
     low, high = F.col("upto") / F.col("total"), (F.col("total") - F.col("below")) / F.col("total")
     direction = F.create_map(*(F.lit(x) for pair in STATISTICS.items() for x in pair))[F.col("statistic")]
     tail = F.when(direction < 0, low).when(direction > 0, high).otherwise(F.least(F.lit(1.0), 2 * F.least(low, high)))
-    return ranked.select("lang", "statistic", "value", (-F.log(tail)).alias("surprise")), ranked_alone
+    return ranked.select("lang", "statistic", "value", "n", "total", (-F.log(tail)).alias("surprise")), ranked_alone
 
 
 def outlier_scores(stats: DataFrame) -> DataFrame:
@@ -231,13 +236,18 @@ def outlier_scores(stats: DataFrame) -> DataFrame:
     no less than 0.42 times minus the logarithm of the share of such texts in its group. `examined` is that bound
     where it is below EXAMINED: however much of a language is no prose, the score leaves none of it out.
     """
-    tails, ranked_alone = tail_probabilities(stats)
+    marked = cut(stats.withColumn("__id", F.monotonically_increasing_id()))  # written down, so a task that runs again finds the same ids
+    tails, ranked_alone = tail_probabilities(marked)
     tails = cut(tails)
-    small = tails.limit(SENT_ROWS + 1).count() <= SENT_ROWS
-    scored, total = stats.withColumn("__group", F.when(F.col("lang").isin(ranked_alone), F.col("lang")).otherwise(UNKNOWN)), F.lit(0.0)
+    marked = marked.withColumn("__group", F.when(F.col("lang").isin(ranked_alone), F.col("lang")).otherwise(UNKNOWN))
+    own = tails.select(F.col("lang").alias("__group"), "statistic", "value", "surprise", (F.col("n") * FREQUENT > F.col("total")).alias("__frequent"))
+    on = ["__group", "statistic", "value"]
+    seen = _long(marked, "__id", "__group").join(F.broadcast(own.filter("__frequent").drop("__frequent")), on, "left")
+    rest = seen.filter("surprise is null").drop("surprise").join(own.filter("not __frequent").drop("__frequent"), on)
+    both = seen.filter("surprise is not null").select("__id", "statistic", "surprise").unionByName(rest.select("__id", "statistic", "surprise"))
+    each = both.groupBy("__id").agg(*(F.max(F.when(F.col("statistic") == name, F.col("surprise"))).alias(f"__{name}") for name in STATISTICS))
+    scored, total = marked.join(each, "__id", "left"), F.lit(0.0)
     for name in STATISTICS:
-        own = tails.filter(F.col("statistic") == name).select(F.col("lang").alias("__group"), F.col("value").alias(name), F.col("surprise").alias(f"__{name}"))
-        scored = scored.join(F.broadcast(own) if small else own, ["__group", name], "left")
         total = total + F.col(f"__{name}") * WEIGHTS[name]
     least = tails.filter((F.col("statistic") == "sentence_share") & (F.col("value") < PROSE)).groupBy(F.col("lang").alias("__group")).agg(F.min("surprise").alias("__least"))  # one row a group
     bound = F.col("__least") * WEIGHTS["sentence_share"] / sum(WEIGHTS.values())
