@@ -127,3 +127,13 @@ def test_intervals_and_buckets(spark):
     assert rows(intervals_from_changes(df, ["k"], "at").select("k", "valid_from", "valid_to")) == [("a", 1, 5), ("a", 5, None), ("b", 2, None)]
     got = spark.createDataFrame([(-1,), (0,), (DAY * 2 - 1,), (DAY * 2,)], "t long").select(bucket_of(F.col("t"), 2))
     assert [r[0] for r in got.collect()] == [-1, 0, 0, 1]
+
+
+def test_every_month_of_orders_is_compared_with_the_next(spark, duck):
+    from conftest import DATA
+
+    from tidemark.plans import model_queries
+
+    got = {r.period for r in model_queries.queries()["snapshot_diff_orders_months"](spark, DATA).select("period").distinct().collect()}
+    months = sorted(m for (m,) in duck.sql("SELECT DISTINCT strftime(o_orderdate, '%Y-%m') FROM orders").fetchall())
+    assert len(months) > 2 and got == set(months[1:])

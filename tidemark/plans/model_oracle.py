@@ -172,6 +172,9 @@ SELECT r.run_id, r.job_id, j.job_name, r.job_run_id, r.task_key, CAST(row_number
 FROM runs r CROSS JOIN w LEFT JOIN jobs j ON j.job_id = r.job_id LEFT JOIN said s ON s.run_id = r.run_id""",
         "snapshot_diff_orders": """WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m') AS m, min(o_orderstatus) AS s FROM orders GROUP BY 1, 2), a AS (SELECT * FROM o WHERE m = '1997-01'), b AS (SELECT * FROM o WHERE m = '1997-02')
 SELECT coalesce(a.k, b.k) AS key, '1997-02' AS period, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.s <> b.s""",
+        "snapshot_diff_orders_months": """WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m') AS m, min(o_orderstatus) AS s FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1, 2),
+p AS (SELECT m, lead(m) OVER (ORDER BY m) AS t FROM (SELECT DISTINCT m FROM o)), a AS (SELECT o.k, p.t AS m, o.s FROM o JOIN p ON p.m = o.m WHERE p.t IS NOT NULL), b AS (SELECT * FROM o WHERE m > (SELECT min(m) FROM o))
+SELECT coalesce(a.k, b.k) AS key, coalesce(a.m, b.m) AS period, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k AND a.m = b.m WHERE a.k IS NULL OR b.k IS NULL OR coalesce(a.s, '') <> coalesce(b.s, '')""",
         "watermark_misses": f"""WITH {REGISTRY}, r AS (SELECT *, row_number() OVER (PARTITION BY cnpj_basico, _snapshot_month ORDER BY _ingested_at DESC) AS n FROM accepted WHERE _snapshot_month IN ('2027-06', '2027-07')),
 v AS (SELECT cnpj_basico AS k, _snapshot_month AS m, concat_ws('|', {', '.join(f"coalesce({c}, '')" for c in _SAT)}) AS v FROM r WHERE n = 1), a AS (SELECT * FROM v WHERE m = '2027-06'), b AS (SELECT * FROM v WHERE m = '2027-07'),
 c AS (SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v)

@@ -365,6 +365,14 @@ def snapshot_diff_orders(spark, folder):
     return snapshot_changes(rows, F.col("o_custkey"), F.col("m"), [F.coalesce("s", F.lit(""))], F.lit(0), ["1997-01", "1997-02"])
 
 
+def snapshot_diff_orders_months(spark, folder):
+    """Customers of every month of orders as snapshots: who came, went or changed status from each month to the next delivered one."""
+    o = table(spark, folder, "orders").withColumn("m", F.date_format("o_orderdate", "yyyy-MM"))
+    months = [r["m"] for r in o.filter("m is not null").select("m").distinct().collect()]  # one row for each snapshot
+    rows = o.groupBy("o_custkey", "m").agg(F.min("o_orderstatus").alias("s"))
+    return snapshot_changes(rows, F.col("o_custkey"), F.col("m"), [F.coalesce("s", F.lit(""))], F.lit(0), months)
+
+
 def watermark_misses(spark, folder):
     """Changes of July that an extract by time of ingest would miss, were it taken from the middle of the deliveries on, per kind."""
     rows = _accepted(spark, folder).filter("_snapshot_month in ('2027-06', '2027-07')")
@@ -470,7 +478,7 @@ def generated_stream(spark, folder):
 QUERIES = (
     dq_classify, dq_tally, dq_overlap, dq_ptax, hash_keys, hub_company, hub_company_increment, link_payer_payee, link_payer_partner, sat_changed_rows, sat_incremental, observation_ledger, effectivity_windows, reference_pick,
     scd2_company, xxhash_injective, dim_calendar, dim_channel, pit_customer, pit_rows_per_as_of, customer_asof, fact_dedup, fx_intervals, fx_resolution, fx_coverage, fact_payment_rows, role_unresolved, orphan_keys,
-    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, watermark_misses, full_keys, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
+    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, snapshot_diff_orders_months, watermark_misses, full_keys, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
 )
 
 
