@@ -31,9 +31,18 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], also: dict[str, Column] | Non
     names start with min_ or max_; they come back, reduced over all rows, with the row count `n`. `parts`: the number
     of fair shares, by default the session's shuffle partitions. Null keys count as a key. Empty input: no hot keys.
     """
-    also, partitions = also or {}, parts or partitions_of(rows.sparkSession)
+    return hot_among(counted_keys(rows, keys, also), keys, tuple(also or ()), parts)
+
+
+def counted_keys(rows: DataFrame, keys: Sequence[str], also: dict[str, Column] | None = None) -> DataFrame:
+    """The number of rows of each key as `__n`, with the aggregates `also`; by partial aggregation."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *(c.alias(a) for a, c in (also or {}).items()))
+
+
+def hot_among(counts: DataFrame, keys: Sequence[str], also: Sequence[str] = (), parts: int | None = None) -> tuple[dict[tuple, int], dict]:
+    """`hot_keys` of keys that are counted already (see `counted_keys`)."""
+    partitions = parts or partitions_of(counts.sparkSession)
     shares = max(partitions, LEAST_PARTS)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *(c.alias(a) for a, c in also.items()))
     seen = Observation()
     fold = [(F.min if a.startswith("min_") else F.max)(a).alias(a) for a in also]
     top = counts.observe(seen, F.sum("__n").alias("n"), *fold).orderBy(F.desc("__n")).limit(shares).collect()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.identity import company_key, company_text, hex_number, hex_text, message_id
 from tidemark.functions.times import event_micros, midnight, month_of
-from tidemark.operators.asof import asof_join
+from tidemark.operators.asof import Reach, asof_join
 from tidemark.operators.errorparse import parse_records
 from tidemark.operators.history import attribute_history
 from tidemark.operators.orphans import find_orphans, latest_at, orphan_report
@@ -17,8 +17,8 @@ from tidemark.operators.redelivery import absorb, identifier, merge_ranges, one_
 from tidemark.operators.skew import hot_keys
 from tidemark.operators.snapshotdiff import snapshot_changes
 from tidemark.plans import data_oracle
-from tidemark.plans.tables import accepted_registry, delivered_snapshots, history_content, registry_content, table
-from tidemark.session import cut
+from tidemark.plans.tables import accepted_registry, delivered_snapshots, history_content, registry_content, snapshot_months, table
+from tidemark.session import cut, written
 
 #: Width in days of the time buckets of the as-of join: about two versions of a company fall into one.
 BUCKET_DAYS = 64
@@ -124,18 +124,21 @@ def p3_edits(spark: SparkSession, folder: str) -> DataFrame:
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Companies added, removed or changed between consecutive snapshots."""
     registry = accepted_registry(spark, folder)
-    months = [m for _, m in delivered_snapshots(registry)]
+    months = snapshot_months(registry)
     changes = snapshot_changes(registry, F.col("company"), F.col("_snapshot_month"), registry_content(), F.unix_micros("_ingested_at"), months)
     return changes.select(company_text(F.col("key")).alias("cnpj_basico"), F.col("period").alias("snapshot_month"), "change_kind")
 
 
-def company_history(spark: SparkSession, folder: str) -> DataFrame:
+def company_history(spark: SparkSession, folder: str, companies: DataFrame | None = None) -> DataFrame:
     """Versions of every company of the hub: (company, version_no, valid_from, valid_to, attributes…).
 
     Statements are reduced to the latest per hash key and day before they meet the hub, so that a company with many
-    rows is small when it is joined.
+    rows is small when it is joined. `companies`: a list of distinct companies to keep to; the hub is reduced by it
+    first, so the statements of all others end at their join with the hub.
     """
     hub = table(spark, folder, "hub_empresa").select(F.col("hub_empresa_hk").alias("hk"), company_key(F.col("cnpj_basico")).alias("company")).dropna().distinct()
+    if companies is not None:
+        hub = hub.join(companies, "company", "left_semi")
     state = F.struct(F.unix_micros("load_date").alias("loaded"), *history_content_columns())
     daily = table(spark, folder, "sat_empresa_dados").filter("hub_empresa_hk is not null and applied_date is not null").groupBy(F.col("hub_empresa_hk").alias("hk"), "applied_date").agg(F.max(state).alias("said"))
     said = daily.join(hub, "hk").select("company", "applied_date", "said.*")
@@ -159,35 +162,40 @@ def p5_history(spark: SparkSession, folder: str) -> DataFrame:
     return company_history(spark, folder).select(company_text(F.col("company")).alias("cnpj_basico"), "version_no", F.date_format("valid_from", "yyyy-MM-dd").alias("valid_from"), end.alias("valid_to"), *history_content())
 
 
-def _versions_with_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Versions of the history with the dimension's surrogate keys for them: (company, valid_from, valid_to, right_keys)."""
+def _versions_with_keys(spark: SparkSession, folder: str, companies: DataFrame) -> DataFrame:
+    """Versions of the companies' history with the dimension's surrogate keys for them: (company, valid_from, valid_to, right_keys)."""
     dim = table(spark, folder, "dim_company").filter(F.col("company_sk") != -1)
     keys = dim.select(company_key(F.col("cnpj_basico")).alias("company"), F.unix_micros("valid_from").alias("valid_from"), "company_sk").groupBy("company", "valid_from").agg(F.collect_set("company_sk").alias("right_keys"))
-    versions = company_history(spark, folder).select("company", midnight(F.col("valid_from")).alias("valid_from"), midnight(F.col("valid_to")).alias("valid_to"))
+    versions = company_history(spark, folder, companies).select("company", midnight(F.col("valid_from")).alias("valid_from"), midnight(F.col("valid_to")).alias("valid_to"))
     return versions.join(keys, ["company", "valid_from"], "left").select("company", "valid_from", "valid_to", "right_keys")
 
 
-def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages of the fact and roles whose stored key is not that of the version valid at the event.
+def _stored_roles(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each message of the fact and role: (id, other_id, at, party_role, company, least, most stored key).
 
-    Deliveries and fact rows of a message meet in one aggregation; a message's stored keys are right only if the
-    least and the greatest of them are.
+    Deliveries and fact rows of a message meet in one aggregation. A stored null counts as 0, which is no key.
     """
     nothing = lambda kind: F.lit(None).cast(kind)
     said = _messages(spark, folder).select("id", "other_id", "payer", "payee", nothing("long").alias("at"), nothing("long").alias("payer_sk"), nothing("long").alias("payee_sk"))
     bare = message_id(F.col("transaction_id"))
-    stored = table(spark, folder, "fact_payment").select(bare.alias("bare"), event_micros(F.col("event_time")).alias("at"), F.col("payer_company_sk").alias("payer_sk"), F.col("payee_company_sk").alias("payee_sk")).filter(F.col("bare").isNotNull())
-    stored = stored.select(hex_number(F.col("bare")).alias("id"), F.when(hex_number(F.col("bare")).isNull(), F.col("bare")).alias("other_id"), nothing("int").alias("payer"), nothing("int").alias("payee"), "at", F.coalesce("payer_sk", F.lit(0)).alias("payer_sk"), F.coalesce("payee_sk", F.lit(0)).alias("payee_sk"))
-    parties = _messages(spark, folder).select("at", _roles("payer", "payee"))
-    hot, span = hot_keys(parties, ["company"], also={"min_at": F.min("at"), "max_at": F.max("at")})
-    first, last = span.get("min_at") or 0, span.get("max_at") or 0
-    one = said.unionByName(stored).groupBy("id", "other_id").agg(
-        F.max("payer").alias("payer"), F.max("payee").alias("payee"), F.min("at").alias("at"),
-        *(f(c).alias(f"{n}_{c}") for c in ("payer_sk", "payee_sk") for n, f in (("least", F.min), ("most", F.max))),
-    ).filter(F.col("least_payer_sk").isNotNull())
+    stored = table(spark, folder, "fact_payment").select(bare.alias("bare"), event_micros(F.col("event_time")).alias("at"), F.col("payer_company_sk").alias("payer_sk"), F.col("payee_company_sk").alias("payee_sk"))
+    stored = stored.filter(F.col("bare").isNotNull()).withColumns({"id": hex_number(F.col("bare")), "payer_sk": F.coalesce("payer_sk", F.lit(0)), "payee_sk": F.coalesce("payee_sk", F.lit(0))})
+    stored = stored.select("id", F.when(F.col("id").isNull(), F.col("bare")).alias("other_id"), nothing("int").alias("payer"), nothing("int").alias("payee"), "at", "payer_sk", "payee_sk")
+    extremes = [f(c).alias(f"{n}_{c}") for c in ("payer_sk", "payee_sk") for n, f in (("least", F.min), ("most", F.max))]
+    one = said.unionByName(stored).groupBy("id", "other_id").agg(F.max("payer").alias("payer"), F.max("payee").alias("payee"), F.min("at").alias("at"), *extremes)
     role = lambda r: F.struct(F.lit(r).alias("party_role"), F.col(r).alias("company"), F.col(f"least_{r}_sk").alias("least"), F.col(f"most_{r}_sk").alias("most"))
-    roles = one.select("id", "other_id", "at", F.inline(F.array(role("payer"), role("payee"))))
-    known = asof_join(roles, _versions_with_keys(spark, folder), "company", "at", first=first, last=last, days=BUCKET_DAYS, hot=hot, salt_on=["id", "other_id"])
+    return one.filter(F.col("least_payer_sk").isNotNull()).select("id", "other_id", "at", F.inline(F.array(role("payer"), role("payee"))))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of the fact and roles whose stored key is not that of the version valid at the event.
+
+    A message's stored keys are right only if the least and the greatest of them are. The messages are written down
+    once; their companies and the span of each one's events decide which versions take part in the join at all.
+    """
+    roles = written(_stored_roles(spark, folder), "fact-roles")
+    reach = Reach(roles, "company", "at")
+    known = asof_join(roles, _versions_with_keys(spark, folder, reach.entities()), "company", "at", reach=reach, days=BUCKET_DAYS, salt_on=["id", "other_id"])
     ghost = (F.col("least") == -1) & (F.col("most") == -1)
     held = F.coalesce(F.array_contains("right_keys", F.col("least")) & F.array_contains("right_keys", F.col("most")), F.lit(False))
     right = F.when(F.col("valid_from").isNull(), ghost).otherwise(held)

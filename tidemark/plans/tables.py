@@ -35,6 +35,14 @@ def delivered_snapshots(registry: DataFrame) -> list[tuple[int, str]]:
     return sorted((r["at"], r["month"]) for r in found)
 
 
+def snapshot_months(registry: DataFrame) -> list[str]:
+    """The snapshots a registry holds, told apart by their month alone, whether or not a reference date is known."""
+    found = registry.select("_snapshot_month").filter(F.col("_snapshot_month").isNotNull()).distinct().limit(MOST_SNAPSHOTS + 1).collect()
+    if len(found) > MOST_SNAPSHOTS:
+        raise ValueError(f"more than {MOST_SNAPSHOTS} snapshots")
+    return sorted(r["_snapshot_month"] for r in found)
+
+
 def registry_content() -> list:
     """Canonical columns of a registry row, without nulls."""
     return [attribute(F.col(c)) for c in REGISTRY_TEXT] + [amount(F.col("capital_social"))]

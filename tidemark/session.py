@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,7 @@ SETTINGS = {
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,10 +33,20 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster whose executors share no folder that the session knows of."""
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir (or TIDEMARK_SHARED).
+
+    Where neither is set, a temporary folder serves a session whose executors are threads of the driver; on a cluster
+    the driver's own folder would be lost to the executors, so that is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("TIDEMARK_SHARED")
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -45,3 +58,18 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def passing_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder; what is written there is deleted when the driver's JVM ends."""
+    place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return place
+
+
+def written(df: DataFrame, name: str = "written") -> DataFrame:
+    """Like `cut`, for wide or large frames: a table in the shared folder, of which later reads take the columns they need."""
+    place = passing_folder(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
