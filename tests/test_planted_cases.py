@@ -49,3 +49,10 @@ def test_a_snapshot_without_reference_dates_is_a_snapshot(spark, planted):
     assert agrees(spark, "p4_found", folder, con)
     kinds = {(r.snapshot_month, r.change_kind) for r in data_queries.p4_found(spark, folder).collect()}
     assert ("2027-03", "removed") in kinds or ("2027-03", "changed") in kinds
+
+
+def test_sequential_producers_and_malformed_identifiers(spark, planted):
+    """A third of the messages numbered on by one producer, some identifiers that are no number, one that holds a third of all rows."""
+    case = "CASE {0} % 9 WHEN 0 THEN 'no-number ' || {0} // 27 WHEN 1 THEN '00ff' || lpad(printf('%x', {0} // 18), 12, '0') WHEN 2 THEN '00FF-' || lpad(printf('%x', {0} // 9), 12, '0') WHEN 3 THEN 'ab00000000000001' WHEN 4 THEN 'AB00000000000001' WHEN 5 THEN 'ab00-0000-0000-0001' ELSE transaction_id END".format("(rowid_ - 1)")
+    folder, con = planted(payments=f"SELECT * EXCLUDE (rowid_) REPLACE ({case} AS transaction_id) FROM (SELECT *, row_number() OVER () AS rowid_ FROM payments)")
+    assert agrees(spark, "p2_found", folder, con) and agrees(spark, "p2_messages", folder, con) and agrees(spark, "p2_seen_before", folder, con)

@@ -13,7 +13,7 @@ from tidemark.operators.asof import Reach, asof_join
 from tidemark.operators.errorparse import parse_records
 from tidemark.operators.history import attribute_history
 from tidemark.operators.orphans import find_orphans, latest_at, orphan_report
-from tidemark.operators.redelivery import absorb, identifier, merge_ranges, one_of_each, whole_ranges, with_sequence
+from tidemark.operators.redelivery import absorb, accepted_rows, identifier, ranges_after, whole_ranges, with_sequence
 from tidemark.operators.skew import hot_keys
 from tidemark.operators.snapshotdiff import snapshot_changes
 from tidemark.plans import data_oracle
@@ -64,9 +64,9 @@ def p1_report(spark: SparkSession, folder: str) -> DataFrame:
     return orphan_report(p1_found(spark, folder), "payments", "party_role", "event_month")
 
 
-def _decisions(spark: SparkSession, folder: str) -> DataFrame:
-    deliveries = with_sequence(table(spark, folder, "payments").select("transaction_id"), message_id(F.col("transaction_id")))
-    return absorb(deliveries.drop("transaction_id"))
+def _deliveries(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    rows = table(spark, folder, "payments").select("transaction_id", *columns)
+    return with_sequence(rows, message_id(F.col("transaction_id"))).drop("transaction_id")
 
 
 def _identifier_text() -> Column:
@@ -74,31 +74,29 @@ def _identifier_text() -> Column:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Identifiers with redeliveries: deliveries of a number that the seen ranges already cover."""
-    again = _decisions(spark, folder).filter(F.col("redelivered") > 0)
-    return again.select(_identifier_text().alias("transaction_id"))
+    """Identifiers with redeliveries: batch after batch, deliveries of a number that the seen ranges already cover."""
+    again = absorb(_deliveries(spark, folder, "_batch_id"), order="_batch_id").filter(F.col("redelivered") > 0)
+    return again.select("producer", "number", "other").distinct().select(_identifier_text().alias("transaction_id"))
 
 
 def p2_seen_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """Disjoint, non-adjacent ranges of numbers seen per producer after all deliveries."""
-    ranges = whole_ranges(cut(merge_ranges(_decisions(spark, folder))))
+    ranges = whole_ranges(cut(ranges_after(_deliveries(spark, folder, "_batch_id"), order="_batch_id")))
     return ranges.select("producer", F.col("lo").alias("range_from"), F.col("hi").alias("range_to"))
 
 
 def p2_seen_before(spark: SparkSession, folder: str) -> DataFrame:
     """Identifiers delivered from April on that the ranges seen up to March cover: the state carried between batches."""
-    rows = table(spark, folder, "payments").select("transaction_id", "_snapshot_month")
-    deliveries = with_sequence(rows, message_id(F.col("transaction_id"))).drop("transaction_id")
-    early, late = deliveries.filter(F.col("_snapshot_month") < SECOND_BATCH).drop("_snapshot_month"), deliveries.filter(F.col("_snapshot_month") >= SECOND_BATCH).drop("_snapshot_month")
-    first = absorb(early)
-    second = absorb(late, merge_ranges(first), first.filter(F.col("other").isNotNull()).select("other"))
+    deliveries = _deliveries(spark, folder, "_snapshot_month")
+    early, late = (deliveries.filter(f"_snapshot_month {sign} '{SECOND_BATCH}'").drop("_snapshot_month") for sign in ("<", ">="))
+    texts = early.filter(F.col("other").isNotNull()).select("other").distinct()
+    second = absorb(late, ranges_after(early), texts)
     return second.filter(F.col("accepted") == 0).select(_identifier_text().alias("transaction_id"), "deliveries")
 
 
 def p2_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Exactly one row of each message, its first delivery; rows without identifier all stay."""
-    rows = table(spark, folder, "payments")
-    kept = one_of_each(rows, message_id(F.col("transaction_id")), ["_ingested_at", "_batch_id", "_source_file"])
+    """Exactly one row of each message, the delivery that the seen ranges accept; rows without identifier all stay."""
+    kept = accepted_rows(table(spark, folder, "payments"), message_id(F.col("transaction_id")), ["_ingested_at", "_batch_id", "_source_file"], "_batch_id")
     return kept.withColumn("_ingested_at", F.unix_micros("_ingested_at"))
 
 
