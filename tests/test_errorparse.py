@@ -83,6 +83,29 @@ def test_delimiters_are_counted_in_full_where_quotes_are_repaired():
             assert delimiters == abs(fields - wanted) == nearest_delimiter_edits(skeleton, wanted), (skeleton, wanted)
 
 
+def fewest_edits(skeleton, wanted):
+    """Least (quote edits, delimiter edits) by search over texts in which a delimiter edit leaves every quote its role.
+
+    A deleted delimiter is marked d: it ends a field for the quotes, but isn't counted; an inserted one stands at the end.
+    """
+    counted = lambda text: None if strict(text.replace("d", ";")) is None else strict(text.replace("d", ";"))
+    level, cost = {skeleton}, 0
+    while True:
+        good = [t for t in level if counted(t) is not None]
+        if good:
+            return cost, min(abs(counted(t) - wanted) for t in good)
+        level = {t[:i] + '"' + t[i:] for t in level for i in range(len(t) + 1)} | {t[:i] + t[i + 1 :] for t in level for i in range(len(t)) if t[i] == '"'}
+        cost += 1
+
+
+def test_one_program_over_quotes_and_delimiters():
+    skeletons = ["".join(t) for n in range(1, 6) for t in itertools.product('";x', repeat=n) if "xx" not in "".join(t)] + ['"x"x;"x"x;x', ';;"x;";;"', '"x;x"x;x;"x']
+    for skeleton in skeletons:
+        for wanted in (1, 2, 4):
+            cost, _, delimiters, _ = parse_skeleton(skeleton, wanted)
+            assert (cost, delimiters) == fewest_edits(skeleton, wanted), (skeleton, wanted)
+
+
 def test_the_stated_edits_repair_the_record():
     for skeleton in ('"x;"x"', '"x"x;x', '"x', 'x;"x"x"x";x', '"";"x""', ';"x"x'):
         cost, fields, _, edits = parse_skeleton(skeleton, 3)

@@ -1,9 +1,11 @@
 """Rows that fail to parse: minimum-cost error parse of delimited records.
 
-A record is parsed at the least cost of edits that insert or delete quotes and delimiters. Quotes come first: how
-a record divides into fields is settled by its quotes, so the quotes are repaired at minimum cost before missing
-or surplus delimiters are counted. A record whose parse costs nothing and whose fields have valid values loads;
-otherwise the edit operations, or the value, state the reason.
+A record is parsed at the least cost of edits that insert or delete quotes and delimiters, so that it has the contract's
+number of fields. One dynamic program covers both kinds. Its cost is the pair (quote edits, delimiter edits), compared
+in this order: how a record divides into fields is settled by its quotes, and a delimiter edit must not repair what is
+wrong with a quote. For the same reason it leaves every quote its role: a deleted delimiter joins two fields, an inserted
+one adds an empty field. A record whose parse costs nothing and whose fields have valid values loads; otherwise the edit
+operations, or the value, state the reason.
 
 Only the sequence of quotes, delimiters and runs of other characters matters to the parse. The dynamic program
 runs over that skeleton in Arrow batches and is remembered per distinct skeleton; fields are cut out in the JVM.
@@ -62,60 +64,64 @@ def _free_fields(skeleton: str) -> int:
 
 
 def _repair(skeleton: str, wanted: int) -> tuple[int, int, str]:
-    """Among the parses with fewest quote edits, one whose field count is nearest `wanted`: (edits, fields, operations).
+    """Least edits with which the skeleton has `wanted` fields: (fields without the delimiter edits, delimiter edits, quote operations).
 
-    A state has one entry for each field count up to `wanted` and one for all greater counts: of these the least
-    stays the nearest whatever follows, so it is carried as it is and the rest dropped. The states of a token are
-    bounded however many fields the record has.
+    States are a parser state and the number of fields so far, at most `wanted`: surplus delimiters are deleted where
+    they occur, missing ones inserted at the end. So costs are exact, and the states of a token are bounded, however
+    many fields the record has.
     """
-    top = wanted + 1
-    best = {(START, 1): (0, 1, None)}
+    best = {(START, 1): (0, 0, None)}
     layers = []
     for at, token in enumerate(skeleton):
-        ready: dict = {key: (cost, fields, (key, "")) for key, (cost, fields, _) in best.items()}
-        for (state, count), (cost, fields, _) in best.items():
+        ready: dict = {key: (quotes, surplus, (key, "")) for key, (quotes, surplus, _) in best.items()}
+        for (state, count), (quotes, surplus, _) in best.items():
             to = (STEP['"'][state], count)
-            if to not in ready or ready[to][:2] > (cost + 1, fields):
-                ready[to] = (cost + 1, fields, ((state, count), f"+quote@{at}"))
+            if to not in ready or ready[to][:2] > (quotes + 1, surplus):
+                ready[to] = (quotes + 1, surplus, ((state, count), f"+quote@{at}"))
         after: dict = {}
-        for (state, _), (cost, fields, back) in ready.items():
+        for (state, count), (quotes, surplus, back) in ready.items():
             to = STEP[token][state]
             if to is None:
                 continue
-            now = fields + (token == ";" and state != QUOTED)
-            key = (to, min(top, now))
-            if key not in after or after[key][:2] > (cost, now):
-                after[key] = (cost, now, back)
+            splits = token == ";" and state != QUOTED
+            ways = [((to, count), quotes, surplus + splits)]  # a delimiter deleted, or anything else taken
+            if splits and count < wanted:
+                ways.append(((to, count + 1), quotes, surplus))
+            for key, *cost in ways:
+                if key not in after or after[key][:2] > tuple(cost):
+                    after[key] = (*cost, back)
         if token == '"':
-            for key, (cost, fields, _) in best.items():
-                if key not in after or after[key][:2] > (cost + 1, fields):
-                    after[key] = (cost + 1, fields, (key, f"-quote@{at}"))
+            for key, (quotes, surplus, _) in best.items():
+                if key not in after or after[key][:2] > (quotes + 1, surplus):
+                    after[key] = (quotes + 1, surplus, (key, f"-quote@{at}"))
         layers.append(after)
         best = after
-    final = {}
-    for key, (cost, fields, _) in best.items():
-        extra = key[0] == QUOTED
-        found = (cost + extra, abs(fields - wanted), fields, key, f"+quote@{len(skeleton)}" if extra else "")
-        if not final or found[:2] < final["v"][:2]:
-            final["v"] = found
-    cost, _, fields, key, last = final["v"]
-    operations = [last] if last else []
+    ends = {key: (quotes + (key[0] == QUOTED), surplus + wanted - key[1]) for key, (quotes, surplus, _) in best.items()}
+    key = min(ends, key=lambda k: (*ends[k], k))
+    operations = [f"+quote@{len(skeleton)}"] if key[0] == QUOTED else []
+    delimiters, fields = ends[key][1], key[1] + best[key][1]
     for layer in reversed(layers):
         key, operation = layer[key][2]
         if operation:
             operations.append(operation)
-    return cost, fields, " ".join(reversed(operations))
+    return fields, delimiters, " ".join(reversed(operations))
 
 
 @lru_cache(maxsize=1 << 16)
 def parse_skeleton(skeleton: str, wanted: int) -> tuple[int, int, int, str]:
-    """(quote edits, fields, delimiter edits, operations) of the minimum-cost parse of a skeleton."""
+    """(quote edits, fields, delimiter edits, operations) of the minimum-cost parse; fields are those before the delimiter edits.
+
+    Without quote edits the path is the only one of its kind, and its delimiter edits are the fields it lacks or has too many.
+    """
     costs = _quote_costs(skeleton)
     quote_edits = min(costs[s] for s in ENDS)
-    fields, operations = (_free_fields(skeleton), "") if quote_edits == 0 else _repair(skeleton, wanted)[1:]
-    missing = wanted - fields
-    counted = f"{'+' if missing > 0 else '-'}delimiter x{abs(missing)}" if missing else ""
-    return quote_edits, fields, abs(missing), " ".join(x for x in (operations, counted) if x)
+    if quote_edits == 0:
+        fields, operations = _free_fields(skeleton), ""
+        delimiters = abs(wanted - fields)
+    else:
+        fields, delimiters, operations = _repair(skeleton, wanted)
+    counted = f"{'+' if fields < wanted else '-'}delimiter x{delimiters}" if delimiters else ""
+    return quote_edits, fields, delimiters, " ".join(x for x in (operations, counted) if x)
 
 
 def _parser(wanted: int):

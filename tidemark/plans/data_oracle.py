@@ -51,6 +51,34 @@ bare AS (SELECT *, [trim(CASE WHEN x LIKE '"%' THEN replace(substring(x, 2, leng
 parsed AS (SELECT *, CASE WHEN _rescued_data IS NOT NULL THEN 'rescued' WHEN NOT quoted THEN 'quoting' WHEN len(f) <> 7 THEN 'column_count'
   WHEN NOT ({_VALID}) OR contains(rec, chr(65533)) THEN 'invalid_value' END AS reason FROM bare)"""
 
+def _parse_costs(fields: int = 7) -> str:
+    """Least (quote edits, delimiter edits) of each record, as a recursive table over its tokens: one column a state and
+    number of fields, holding a million times the quote edits plus the delimiter edits."""
+    start, plain, quoted, after = range(4)
+    states, counts, far, quote = (start, plain, quoted, after), range(1, fields + 1), 10**12, 10**6
+    c = lambda s, k: f"c{s}_{k}"
+    r = lambda s, k: f"r{s}_{k}"
+    inserted = {start: [], plain: [], quoted: [start, after], after: [quoted]}
+    ready = ", ".join(f"least({', '.join([c(s, k), *(f'{c(o, k)} + {quote}' for o in inserted[s])])}, {far}) AS {r(s, k)}" for s in states for k in counts)
+
+    def then(s: int, k: int) -> str:
+        at_quote = {start: [], plain: [r(plain, k)], quoted: [r(start, k), r(after, k)], after: [r(quoted, k)]}[s] + [f"{c(s, k)} + {quote}"]
+        outside = (start, plain, after)
+        at_mark = {start: [f"{r(o, k)} + 1" for o in outside] + [r(o, k - 1) for o in outside if k > 1], quoted: [r(quoted, k)]}.get(s, [])
+        at_else = {plain: [r(start, k), r(plain, k)], quoted: [r(quoted, k)]}.get(s, [])
+        least = lambda ways: f"least({', '.join([*ways, str(far)])})"
+        return f"CASE token WHEN '\"' THEN {least(at_quote)} WHEN ';' THEN {least(at_mark)} ELSE {least(at_else)} END AS {c(s, k)}"
+
+    first = ", ".join(f"CAST({0 if (s, k) == (start, 1) else far} AS BIGINT) AS {c(s, k)}" for s in states for k in counts)
+    cost = f"least({', '.join(f'{c(s, k)} + {fields - k + (quote if s == quoted else 0)}' for s in states for k in counts)})"
+    return f"""WITH RECURSIVE shapes AS (SELECT line_id, regexp_replace(regexp_replace(coalesce(raw_line, ''), '\\r$', ''), '[^;"]+', 'x', 'g') AS shape FROM raw_empresas),
+walk AS (SELECT DISTINCT shape, 0 AS place, {first} FROM shapes
+  UNION ALL SELECT shape, place + 1, {", ".join(then(s, k) for s in states for k in counts)}
+  FROM (SELECT *, substring(shape, place + 1, 1) AS token, {ready} FROM walk WHERE place < length(shape))),
+costs AS (SELECT shape, {cost} AS cost FROM walk WHERE place = length(shape))
+SELECT line_id, CAST(cost // {quote} AS INTEGER) AS quote_edits, CAST(cost % {quote} AS INTEGER) AS delimiter_edits FROM shapes JOIN costs USING (shape) WHERE cost > 0"""
+
+
 SNAPSHOTS = f"""WITH ranked AS (
   SELECT {_key('cnpj_basico')} AS k, _snapshot_month AS m, concat_ws('|', {', '.join(_text(c) for c in COMPANY_COLUMNS[1:] if c != 'capital_social')}, {_amount('capital_social')}) AS v,
     row_number() OVER (PARTITION BY {_key('cnpj_basico')}, _snapshot_month ORDER BY _ingested_at DESC) AS n
@@ -85,6 +113,7 @@ SELECT id AS transaction_id, count(*) AS deliveries FROM p WHERE late AND id IN
 UNION ALL SELECT {_SHOWN} FROM payments WHERE {_id('transaction_id')} IS NULL""",
         "p3_found": f"{RECORDS} SELECT line_id, reason FROM parsed WHERE reason IS NOT NULL",
         "p3_rows": f"{RECORDS} SELECT line_id, {', '.join(f'v[{i + 1}] AS {c}' for i, c in enumerate(COMPANY_COLUMNS))} FROM parsed WHERE reason IS NULL",
+        "p3_edits": _parse_costs(),
         "p4_found": f"""{SNAPSHOTS} SELECT coalesce(l.k, e.k) AS cnpj_basico, coalesce(l.m, e.m) AS snapshot_month,
   CASE WHEN e.k IS NULL THEN 'added' WHEN l.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind
 FROM later l FULL JOIN earlier e ON l.k = e.k AND l.m = e.m WHERE l.k IS NULL OR e.k IS NULL OR l.v <> e.v""",

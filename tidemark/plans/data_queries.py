@@ -114,9 +114,18 @@ def p3_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _parsed(spark, folder).filter(F.col("reason").isNull()).drop("raw_line", "_rescued_data", "reason", "quote_edits", "delimiter_edits", "edits")
 
 
+def _costly(spark: SparkSession, folder: str) -> DataFrame:
+    return _parsed(spark, folder).filter((F.col("quote_edits") > 0) | (F.col("delimiter_edits") > 0))
+
+
 def p3_edits(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that parse only at a cost, with the numbers of quotes and delimiters that would have to be edited."""
+    return _costly(spark, folder).select("line_id", "quote_edits", "delimiter_edits")
+
+
+def p3_operations(spark: SparkSession, folder: str) -> DataFrame:
     """Records that parse only at a cost, with the edits that would repair them."""
-    return _parsed(spark, folder).filter((F.col("quote_edits") > 0) | (F.col("delimiter_edits") > 0)).select("line_id", "quote_edits", "delimiter_edits", "edits")
+    return _costly(spark, folder).select("line_id", "edits")
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,7 +210,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_seen_ranges, p2_seen_before, p2_messages, p3_found, p3_rows, p3_edits, p4_found, p5_found, p5_history, p6_found)}
+    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_seen_ranges, p2_seen_before, p2_messages, p3_found, p3_rows, p3_edits, p3_operations, p4_found, p5_found, p5_history, p6_found)}
 
 
 def oracle_sql() -> dict[str, str]:
