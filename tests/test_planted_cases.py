@@ -56,3 +56,13 @@ def test_sequential_producers_and_malformed_identifiers(spark, planted):
     case = "CASE {0} % 9 WHEN 0 THEN 'no-number ' || {0} // 27 WHEN 1 THEN '00ff' || lpad(printf('%x', {0} // 18), 12, '0') WHEN 2 THEN '00FF-' || lpad(printf('%x', {0} // 9), 12, '0') WHEN 3 THEN 'ab00000000000001' WHEN 4 THEN 'AB00000000000001' WHEN 5 THEN 'ab00-0000-0000-0001' ELSE transaction_id END".format("(rowid_ - 1)")
     folder, con = planted(payments=f"SELECT * EXCLUDE (rowid_) REPLACE ({case} AS transaction_id) FROM (SELECT *, row_number() OVER () AS rowid_ FROM payments)")
     assert agrees(spark, "p2_found", folder, con) and agrees(spark, "p2_messages", folder, con) and agrees(spark, "p2_seen_before", folder, con)
+
+
+def test_references_with_null_parts(spark, planted):
+    """Unreadable instants and missing counterparties leave a part of the composite key null."""
+    folder, con = planted(
+        payments="SELECT * EXCLUDE (rowid_) REPLACE (CASE WHEN rowid_ % 5 = 0 THEN 'soon' ELSE event_time END AS event_time, CASE WHEN rowid_ % 7 = 0 THEN NULL WHEN rowid_ % 3 = 0 THEN '99999999' ELSE payee_cnpj_basico END AS payee_cnpj_basico) FROM (SELECT *, row_number() OVER () AS rowid_ FROM payments)"
+    )
+    for name in ("p1_found", "p1_partial", "p1_simple"):
+        assert agrees(spark, name, folder, con), name
+    assert data_queries.p1_partial(spark, folder).filter("in_force is null and company = '99999999'").count() > 0

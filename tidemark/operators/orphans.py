@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,31 +27,24 @@ def find_orphans(refs: DataFrame, target: DataFrame, on: Sequence[str], *, seman
     - full: a key is wholly null (no reference) or must exist wholly; a partly null one is an orphan;
     - partial: the non-null columns must occur together in some target row; wholly null is no reference.
 
-    Under `full` a partly null key can equal no target key, so its masks share the one anti-join of the complete
-    keys, where they are spread by salt. Under `partial` each partly null mask is an anti-join of its own against
-    the distinct non-null columns. Repeated rows of `refs` each come out; an empty target makes every reference
-    an orphan; target rows with a null key column match nothing under simple and full. Other columns of `target`
-    are not read. `hot`, `hot_on`, `salt_on`: see `salted_join`.
+    All masks go through one anti-join: its key is the mask and the columns, null where the mask says so. A target row is
+    repeated for each mask that the semantics look up (at most 2^columns - 1), reduced to the mask's non-null columns
+    and made distinct. Under `full` no target row stands under a partly null mask, so all its references are orphans.
+    Repeated rows of `refs` each come out; an empty target makes every reference an orphan; target rows with a null
+    in a column that a mask compares match nothing under it. Other columns of `target` are not read. `hot`: hot keys of
+    `hot_on` (by default `on`), as `hot_keys` gives them; `salt_on`: see `salted_join`.
     """
     if semantics not in SEMANTICS:
         raise ValueError(f"semantics must be one of {SEMANTICS}, not {semantics!r}")
     on = list(on)
     mask = null_mask([F.col(c) for c in on])
     everything = (1 << len(on)) - 1
-    keys = target.select(*on)
-    complete = keys.dropna().distinct()
-    joined = lambda rows, there, cols: salted_join(rows, there, cols, "left_anti", hot=hot if set(hot_on or on) <= set(cols) else (), hot_on=hot_on, salt_on=salt_on)
-    if semantics == "simple":
-        return joined(refs.filter(mask == 0), complete, on)
-    if semantics == "full":
-        return joined(refs.filter(mask != everything), complete, on)
-    found = joined(refs.filter(mask == 0), complete, on)
-    for size in range(1, len(on)):
-        for null_at in combinations(range(len(on)), size):
-            cols = [c for i, c in enumerate(on) if i not in null_at]
-            there = keys.select(*cols).dropna().distinct()
-            found = found.unionByName(joined(refs.filter(mask == sum(1 << i for i in null_at)), there, cols))
-    return found
+    looked_up = range(everything) if semantics == "partial" else (0,)
+    asked = refs.withColumn("__mask", mask).filter(F.col("__mask") == 0 if semantics == "simple" else F.col("__mask") != everything)
+    keys = target.select(*on).distinct().withColumn("__mask", F.explode(F.array(*(F.lit(m) for m in looked_up))))
+    shown = [F.when(F.col("__mask").bitwiseAND(F.lit(1 << i)) == 0, F.col(c)).alias(c) for i, c in enumerate(on)]
+    there = keys.select("__mask", *shown).filter(mask == F.col("__mask")).distinct()
+    return salted_join(asked, there, ["__mask", *on], "left_anti", hot=hot, hot_on=hot_on or on, salt_on=salt_on, null_safe=True).drop("__mask")
 
 
 def latest_at(micros: Column, steps: Sequence[tuple[int, str]]) -> Column:

@@ -69,7 +69,7 @@ def parts_of(columns: Sequence[Column], hot: Hot) -> Column:
     return result
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, *, hot: Hot, hot_on: Sequence[str] | None = None, salt_on: Sequence[str], condition: Column | None = None) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, *, hot: Hot, hot_on: Sequence[str] | None = None, salt_on: Sequence[str], condition: Column | None = None, null_safe: bool = False) -> DataFrame:
     """Equi-join (`inner`, `left`, `left_semi`, `left_anti`) that splits the hot keys of the left side.
 
     Left rows of a hot key get a salt below its number of parts, a hash of `salt_on`, so that a task that runs again
@@ -77,12 +77,14 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     salt 0. Left rows with a null in `on` match nothing and are spread over all partitions. `hot`: as `hot_keys`
     gives it, or just the keys; `hot_on`: the columns it is about, `on` by default. `condition` may name columns of
     either side; the sides must share no other names than `on`. A right table must hold each key a bounded number of
-    times.
+    times. With `null_safe` a null equals a null, and is split like any other value.
     """
     hot_on = list(hot_on or on)
     columns = [F.col(c) for c in hot_on]
     nulls = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in on))
-    parts = F.when(nulls, F.lit(max(partitions_of(left.sparkSession), 2))).otherwise(parts_of(columns, hot))
+    parts = parts_of(columns, hot)
+    if not null_safe:
+        parts = F.when(nulls, F.lit(max(partitions_of(left.sparkSession), 2))).otherwise(parts)
     l = left.withColumn("__salt", F.when(parts > 1, F.pmod(F.xxhash64(*salt_on), parts)).otherwise(F.lit(0)).cast("int"))
     if hot:
         r = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), parts_of(columns, hot) - 1)))
@@ -90,6 +92,6 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
         r = right.withColumn("__salt", F.lit(0))
     keys = [*on, "__salt"]
     r = r.select(*(F.col(k).alias(f"__r_{k}") for k in keys), *(c for c in r.columns if c not in keys))
-    test = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"__r_{k}") for k in keys))
+    test = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__r_{k}")) if null_safe else F.col(k) == F.col(f"__r_{k}") for k in keys))
     joined = l.join(r, test if condition is None else test & condition, how)
     return joined.drop("__salt", *(f"__r_{k}" for k in keys))

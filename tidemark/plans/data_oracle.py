@@ -37,6 +37,9 @@ placed AS (SELECT r.id, r.ts, r.party_role, r.company, s.m FROM refs r LEFT JOIN
 orphans AS (SELECT DISTINCT p.id AS transaction_id, p.party_role, strftime(p.ts, '%Y-%m') AS event_month
   FROM placed p LEFT JOIN registry g ON p.company = g.company AND p.m = g.m WHERE g.company IS NULL)"""
 
+NULLABLE = ORPHANS[: ORPHANS.rindex(" WHERE r.ts IS NOT NULL")].replace("refs AS", "refs AS MATERIALIZED") + ")"
+_SHOWN_REFERENCE = "SELECT DISTINCT id AS transaction_id, party_role, company, m AS in_force FROM placed p"
+
 PAYMENT_COLUMNS = ("transaction_id", "event_time", "emitted_at", "payer_cnpj_basico", "payee_cnpj_basico", "amount", "currency", "payment_method", "_rescued_data", "_source_file", "_ingested_at", "_record_source", "_batch_id", "_snapshot_month")
 _FIRST = ("_ingested_at", "_batch_id", "_source_file")
 _ORDER = ", ".join(f"{c} NULLS FIRST" for c in [*_FIRST, *(c for c in PAYMENT_COLUMNS if c not in _FIRST)])
@@ -102,6 +105,14 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": f"{ORPHANS} SELECT * FROM orphans",
         "p1_report": f"{ORPHANS} SELECT 'payments' AS table_name, party_role, event_month, count(*) AS orphan_references FROM orphans GROUP BY 1, 2, 3",
+        "p1_partial": f"""{NULLABLE} {_SHOWN_REFERENCE} WHERE (company IS NOT NULL OR m IS NOT NULL)
+  AND NOT EXISTS (SELECT 1 FROM registry g WHERE (p.company IS NULL OR g.company = p.company) AND (p.m IS NULL OR g.m = p.m) AND g.company IS NOT NULL)""",
+        "p1_simple": f"{NULLABLE} {_SHOWN_REFERENCE} WHERE company IS NOT NULL AND m IS NOT NULL AND (company, m) NOT IN (SELECT company, m FROM registry WHERE company IS NOT NULL)",
+        "p1_references": f"""{ORPHANS} SELECT 'payments' AS table_name, party_role, event_month, count(*) AS orphan_references FROM orphans GROUP BY 1, 2, 3
+UNION ALL SELECT 'fact_payment', role, strftime({_instant('event_time')}, '%Y-%m'), count(*) FROM (SELECT event_time, 'payer' AS role, payer_company_sk AS k FROM fact_payment UNION ALL SELECT event_time, 'payee', payee_company_sk FROM fact_payment)
+  WHERE k IS NOT NULL AND k NOT IN (SELECT company_sk FROM dim_company) GROUP BY 1, 2, 3
+UNION ALL SELECT 'sat_empresa_dados', 'statement', strftime(applied_date, '%Y-%m'), count(*) FROM sat_empresa_dados
+  WHERE hub_empresa_hk IS NOT NULL AND hub_empresa_hk NOT IN (SELECT hub_empresa_hk FROM hub_empresa WHERE hub_empresa_hk IS NOT NULL) GROUP BY 1, 2, 3""",
         "p2_found": f"SELECT {_id('transaction_id')} AS transaction_id FROM payments WHERE {_id('transaction_id')} IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
         "p2_seen_ranges": f"""WITH ids AS (SELECT DISTINCT {_id('transaction_id')} AS id FROM payments WHERE {_id('transaction_id')} IS NOT NULL),
 n AS (SELECT CAST('0x' || left(id, 4) AS INTEGER) AS producer, CAST('0x' || right(id, 12) AS BIGINT) AS n FROM ids),

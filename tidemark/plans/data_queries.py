@@ -59,6 +59,43 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return orphans.select("id", "other_id", "party_role", month_of(F.col("at")).alias("event_month")).distinct().select(_id_text().alias("transaction_id"), "party_role", "event_month")
 
 
+def _nullable_references(spark: SparkSession, folder: str, semantics: str) -> DataFrame:
+    """Orphans among all references of payments, those with an unreadable instant or without a company included.
+
+    An unreadable instant leaves the snapshot of the composite key null, a missing counterparty its company.
+    """
+    registry = accepted_registry(spark, folder)
+    held = registry.select("company", F.col("_snapshot_month").alias("in_force"))
+    refs = _messages(spark, folder).select("id", "other_id", "at", _roles("payer", "payee"))
+    placed = refs.withColumn("in_force", latest_at(F.col("at"), delivered_snapshots(registry)))
+    hot, _ = hot_keys(placed, ["company", "in_force"])
+    orphans = find_orphans(placed, held, ["company", "in_force"], semantics=semantics, hot=hot, salt_on=["id", "other_id"])
+    return orphans.select("id", "other_id", "party_role", "company", "in_force").distinct().select(_id_text().alias("transaction_id"), "party_role", company_text(F.col("company")).alias("company"), "in_force")
+
+
+def p1_partial(spark: SparkSession, folder: str) -> DataFrame:
+    """References whose known parts occur together in no registry row: a key with nulls is looked up on the rest."""
+    return _nullable_references(spark, folder, "partial")
+
+
+def p1_simple(spark: SparkSession, folder: str) -> DataFrame:
+    """References that are complete and name no registry row; a key with a null refers to nothing."""
+    return _nullable_references(spark, folder, "simple")
+
+
+def p1_references(spark: SparkSession, folder: str) -> DataFrame:
+    """Orphan references per table, role and month: payments to the registry, the fact to its dimension, statements to the hub."""
+    dim = table(spark, folder, "dim_company").select(F.col("company_sk").alias("key"))
+    fact = table(spark, folder, "fact_payment").select("transaction_id", month_of(event_micros(F.col("event_time"))).alias("event_month"), _roles("payer_company_sk", "payee_company_sk").alias("party_role", "key"))
+    hub = table(spark, folder, "hub_empresa").select(F.col("hub_empresa_hk").alias("key"))
+    said = table(spark, folder, "sat_empresa_dados").select(F.col("hub_empresa_hk").alias("key"), F.lit("statement").alias("party_role"), F.date_format("applied_date", "yyyy-MM").alias("event_month"), "hash_diff")
+    report = p1_report(spark, folder)
+    for name, refs, target, salt_on in (("fact_payment", fact, dim, "transaction_id"), ("sat_empresa_dados", said, hub, "hash_diff")):
+        hot, _ = hot_keys(refs, ["key"])
+        report = report.unionByName(orphan_report(find_orphans(refs, target, ["key"], hot=hot, salt_on=[salt_on]), name, "party_role", "event_month"))
+    return report
+
+
 def p1_report(spark: SparkSession, folder: str) -> DataFrame:
     """Orphan references of payments per role and month."""
     return orphan_report(p1_found(spark, folder), "payments", "party_role", "event_month")
@@ -210,7 +247,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_seen_ranges, p2_seen_before, p2_messages, p3_found, p3_rows, p3_edits, p3_operations, p4_found, p5_found, p5_history, p6_found)}
+    return {f.__name__: f for f in (p1_found, p1_report, p1_partial, p1_simple, p1_references, p2_found, p2_seen_ranges, p2_seen_before, p2_messages, p3_found, p3_rows, p3_edits, p3_operations, p4_found, p5_found, p5_history, p6_found)}
 
 
 def oracle_sql() -> dict[str, str]:
