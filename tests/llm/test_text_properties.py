@@ -6,7 +6,7 @@ from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 from tidemark.llm.leakage import words_of  # noqa: E402
-from tidemark.llm.textstats import STATISTICS, statistics_of  # noqa: E402
+from tidemark.llm.textstats import STATISTICS, Learned, statistics_of  # noqa: E402
 from tidemark.llm.tokenizer import encoder, vocabulary_path  # noqa: E402
 
 OWN = encoder(vocabulary_path())
@@ -37,6 +37,6 @@ def test_words_do_not_depend_on_form_or_case(text):
 @settings(max_examples=300, deadline=None)
 @given(TEXT)
 def test_statistics_stay_in_their_ranges(text):
-    found, _ = statistics_of(text)
+    found, _ = statistics_of(text, Learned())
     assert set(found) == set(STATISTICS)
     assert all(0 <= v <= 1 for k, v in found.items() if k not in ("words", "word_length")), found

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.leakage import find_leaks, leak_report
-from tidemark.llm.textstats import no_prose, outlier_scores, text_statistics
+from tidemark.llm.textstats import no_prose, no_sentences, outlier_scores, text_statistics
 from tidemark.llm.tokenizer import decode_ids, encode_texts
 
 
@@ -36,18 +36,21 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return leak_report(p8_found(spark, folder), "doc_id", "item_id", _table(spark, folder, "eval_items"), ["split", "task"])
 
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    return outlier_scores(text_statistics(_table(spark, folder, "documents"), "doc_id", "text", "lang"))
+def _measured(spark: SparkSession, folder: str) -> DataFrame:
+    return text_statistics(_table(spark, folder, "documents"), "doc_id", "text", "lang")
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that are a list, a table or junk: outliers of their language without a text of running sentences."""
-    return _scored(spark, folder).filter(no_prose()).select("doc_id")
+    """Documents that are a list, a table or junk: outliers of their language without a text of running sentences.
+
+    All documents are ranked; the score is computed for those whose sentences don't already say that they are prose.
+    """
+    return outlier_scores(_measured(spark, folder), only=no_sentences()).filter(no_prose()).select("doc_id")
 
 
 def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's statistics, unrounded, its outlier score, and the score from which its language is examined."""
-    return _scored(spark, folder)
+    """Every document's statistics, unrounded, and its outlier score."""
+    return outlier_scores(_measured(spark, folder))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

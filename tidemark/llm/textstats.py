@@ -1,17 +1,23 @@
 """Per-document text quality statistics, and documents that are no prose.
 
-One pass over each whole text gives its statistics. Each statistic is ranked exactly among all documents of the same
-language: values are counted, the counts sorted by range partitions, and the partitions' totals carried on as
-offsets. The shares of documents that are at least as extreme, the empirical tail probabilities, are combined over
-the statistics into an outlier score, and outliers are confirmed by the share of the text in running sentences.
+Two passes over the whole texts. The first learns from the corpus itself, without any fixed vocabulary, which words are
+common in each language (by document frequency) and how letters follow one another (counts of letter pairs). The second
+gives every text its statistics. Each statistic is ranked exactly among the documents of the same language: values are
+counted, the counts sorted by range partitions, and the partitions' totals carried on as offsets. The shares of the
+language's prose that are at least as extreme, the empirical tail probabilities, are combined over the statistics into
+an outlier score. A text is no prose if it is an outlier and running sentences make up less than half of it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,24 +25,20 @@ from pyspark.sql import functions as F
 from tidemark.operators.skew import partitions_of
 from tidemark.session import cut
 
-#: Common words by language: articles, prepositions, conjunctions, pronouns, auxiliaries. (fixed values)
-COMMON = {
-    "pt": "a o as os um uma uns umas de do da dos das em no na nos nas por pelo pela pelos pelas para com sem sob sobre entre até desde ao à aos às e ou mas porém nem que se quando porque pois enquanto embora como não já mais menos muito foi era ser estar está são tem ter há ele ela eles elas isso este esta esse essa seu sua seus suas lhe nós todos todas cada só também depois antes",
-    "en": "the a an of to in on at by for from with without under over between until since into onto about as and or but nor yet so that which who when while because although if than then not no was were is are be been being has have had it its he she they them this that these those his her their our we you i all each only also after before during",
-    "es": "el la los las un una unos unas de del en por para con sin sobre entre hasta desde al y e o u pero ni que se cuando porque pues mientras aunque como no ya más menos muy fue era ser estar está son tiene tener hay él ella ellos ellas eso este esta ese esa su sus le lo nos todos todas cada solo también después antes",
-}
-_COMMON = {lang: frozenset(words.split()) for lang, words in COMMON.items()}
+#: A stated language is one of the corpus if at least one in so many documents states it: at most this many languages.
+LANGUAGE_SHARE = 256
+#: A word is common in a language if it is in at least one in so many of its documents. So a language has at most this
+#: many times as many common words as a document has distinct words in the mean.
+COMMON_SHARE = 8
 #: Language of texts that show none; they are ranked among the texts of all languages.
 UNKNOWN = "und"
-_ANY = frozenset().union(*_COMMON.values())
 
 #: Statistics, and whether low (-1), high (1) or both (0) are odd.
-STATISTICS = {"words": 0, "word_length": 0, "symbol_share": 1, "digit_share": 1, "ended_lines": -1, "common_words": -1, "distinct_words": 0, "sentence_share": -1}
-LOGARITHMIC = ("words", "word_length")
-#: Weight of each statistic's surprise in the score: running sentences tell prose from the rest most directly.
-WEIGHTS = {"words": 0.5, "word_length": 0.5, "symbol_share": 1.0, "digit_share": 1.0, "ended_lines": 1.0, "common_words": 1.0, "distinct_words": 0.5, "sentence_share": 4.0}
-#: Languages with fewer documents than this are ranked among all documents: few ranks say little.
-LEAST_RANKED = 200
+STATISTICS = {"words": 0, "word_length": 0, "symbol_share": 1, "digit_share": 1, "ended_lines": -1, "common_words": -1, "distinct_words": 0, "letter_surprise": 1, "sentence_share": -1}
+#: Weight of each statistic's surprise in the score: running sentences say most about the kind of a text, its size little.
+WEIGHTS = {"words": 0.5, "word_length": 1.0, "symbol_share": 1.0, "digit_share": 1.0, "ended_lines": 1.0, "common_words": 1.0, "distinct_words": 0.5, "letter_surprise": 1.0, "sentence_share": 3.0}
+#: Greatest surprise of a statistic: that of one prose text in a thousand. It is also the surprise of a value beyond all prose.
+MOST_SURPRISE = math.log(1000)
 
 _WORD = re.compile(r"\w+")
 _ODD = re.compile(r"[^\w\s]+|\d+")
@@ -74,10 +76,13 @@ def _structured(line: str, solid: int, odd: int) -> bool:
     return ": " in line and len(_WORD.findall(line)) < 5
 
 
-def _running(unit: str, words: list[str], common: int) -> bool:
-    """Whether a stretch up to a full stop, or to the end of its paragraph, is a running sentence."""
+def _running(unit: str, words: list[str], short: int) -> bool:
+    """Whether a stretch up to a full stop, or to the end of its paragraph, is a running sentence.
+
+    `short`: its words of at most three letters. In running text of any language they tie the others together.
+    """
     n = len(words)
-    if n < 5 or common < 0.12 * n or common < 2 and n > 8 or n < 120 and len(set(words)) < 0.35 * n:
+    if n < 5 or short < 0.09 * n or len(set(words)) < 0.35 * min(n, 120):
         return False
     commas = unit.count(",")
     if commas > 3 and n < 5 * (commas + 1):
@@ -100,16 +105,116 @@ def _odd(line: str) -> int:
     return len("".join(_ODD.findall(line)))
 
 
-def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
-    """The statistics of a text, unrounded, and the language its common words speak for, if they do.
+#: Letters whose pairs are counted: those of the Latin scripts up to U+017F. Others say nothing about letters.
+LETTERS = [chr(c) for c in range(0x61, 0x180) if chr(c).islower() and chr(c).isalpha()]
+_SIZE = len(LETTERS) + 1
+_NUMBER = np.zeros(1 << 16, np.int32)
+_NUMBER[[ord(c) for c in LETTERS]] = np.arange(1, _SIZE)
+
+
+def letter_pairs(lower: str) -> np.ndarray:
+    """Numbers of the pairs of neighbouring letters of a text in lower case."""
+    codes = _NUMBER[np.frombuffer(lower.encode("utf-16-le", "surrogatepass"), np.uint16)]
+    left, right = codes[:-1], codes[1:]
+    return (left * _SIZE + right)[(left > 0) & (right > 0)]
+
+
+@dataclass(frozen=True)
+class Learned:
+    """What the corpus teaches: the common words of each language, and how often each pair of letters occurs."""
+
+    common: dict[str, frozenset[str]] = field(default_factory=dict)
+    pairs: dict[int, int] = field(default_factory=dict)
+
+    @cached_property
+    def _letters(self) -> tuple[np.ndarray, float, float]:
+        """The surprise, in bits, of each pair's second letter after its first, and its mean over the corpus and over letters drawn at random."""
+        n = np.zeros(_SIZE * _SIZE)
+        n[list(self.pairs)] = list(self.pairs.values())
+        n = n.reshape(_SIZE, _SIZE)
+        seen = max(1, int((n.sum(0) > 0).sum()))
+        bits = -np.log2((n + 1) / (n.sum(1, keepdims=True) + seen))
+        share = n / max(1.0, n.sum())
+        natural, drawn = float((share * bits).sum()), float((np.outer(share.sum(1), share.sum(0)) * bits).sum())
+        return bits.ravel(), natural, drawn
+
+    def letter_surprise(self, lower: str) -> float:
+        """Mean surprise of a text's letters by those before them, in bits; 0 where no pair of letters occurs."""
+        found = letter_pairs(lower)
+        return float(self._letters[0][found].mean()) if len(found) else 0.0
+
+    @property
+    def suspicious(self) -> float:
+        """Surprise up to which no considerable part of a text can be letters at random."""
+        _, natural, drawn = self._letters
+        return natural + (drawn - natural) / 4
+
+    @property
+    def random(self) -> float:
+        """Surprise beyond which letters follow one another more like letters drawn at random than like the corpus's."""
+        _, natural, drawn = self._letters
+        return (natural + drawn) / 2
+
+
+def stated_language(stated: str | None) -> str:
+    return (stated or "").strip().lower() or UNKNOWN
+
+
+def learn(rows: DataFrame, text: str, lang: str) -> Learned:
+    """Counts over all texts, reduced to what is frequent before it reaches the driver.
+
+    That is at most LANGUAGE_SHARE languages, COMMON_SHARE times the mean number of distinct words of a document for
+    each, and one count for each pair of LETTERS. Words and pairs are counted for each Arrow batch, then by partial
+    aggregation.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words: dict[str, Counter] = {}
+            sizes, pairs = Counter(), np.zeros(_SIZE * _SIZE, np.int64)
+            for value, stated in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if not value or value.isspace():
+                    continue
+                lower, own = value.lower(), stated_language(stated)
+                sizes[own] += 1
+                words.setdefault(own, Counter()).update(set(_WORD.findall(lower)))
+                found = letter_pairs(lower)
+                pairs += np.bincount(found, minlength=len(pairs))
+            some = np.flatnonzero(pairs)
+            counted = [("documents", own, "", n) for own, n in sizes.items()] + [("word", own, w, n) for own, c in words.items() for w, n in c.items()]
+            counted += [("pair", "", str(i), int(pairs[i])) for i in some]
+            yield pa.RecordBatch.from_pylist([dict(zip(("kind", "lang", "what", "n"), c, strict=True)) for c in counted], pa.schema([("kind", pa.string()), ("lang", pa.string()), ("what", pa.string()), ("n", pa.int64())]))
+
+    counts = cut(rows.select(F.col(text), F.col(lang)).mapInArrow(run, "kind string, lang string, what string, n long").groupBy("kind", "lang", "what").agg(F.sum("n").alias("n")))
+    documents = counts.filter("kind = 'documents'")
+    total = documents.agg(F.sum("n")).first()[0] or 0
+    sizes = {r["lang"]: r["n"] for r in documents.filter((F.col("lang") != UNKNOWN) & (F.col("n") * LANGUAGE_SHARE >= total)).collect()}
+    if not sizes:
+        languages: dict[str, frozenset[str]] = {}
+    else:
+        least = F.create_map(*(F.lit(x) for lang_, n in sizes.items() for x in (lang_, n)))[F.col("lang")]
+        frequent = counts.filter((F.col("kind") == "word") & F.col("lang").isin(list(sizes))).filter(F.col("n") * COMMON_SHARE >= least)
+        by: dict[str, set[str]] = {lang_: set() for lang_ in sizes}
+        for r in frequent.select("lang", "what").collect():
+            by[r["lang"]].add(r["what"])
+        languages = {lang_: frozenset(w) for lang_, w in by.items()}
+    pairs = {int(r["what"]): r["n"] for r in counts.filter("kind = 'pair'").select("what", "n").collect()}
+    return Learned(languages, pairs)
+
+
+def statistics_of(text: str, learned: Learned) -> tuple[dict[str, float], str | None]:
+    """The statistics of a text, unrounded, and the language whose common words it has most of, if it has three.
 
     Every part of the text is read into words once: structured lines by themselves, the lines between them joined
-    up to the next full stop or the end of the paragraph.
+    up to the next full stop or the end of the paragraph. Where the text's letters are suspicious, a stretch of letters
+    at random is no sentence.
     """
     words: list[str] = []
-    common: list[str] = []
     solid = lines = ended = running = 0
-    for paragraph in _PARAGRAPH.split(text.lower()):
+    lower = text.lower()
+    surprise = learned.letter_surprise(lower)
+    suspicious = surprise > learned.suspicious
+    for paragraph in _PARAGRAPH.split(lower):
         kept = []
         for line in paragraph.split("\n"):
             own = _solid(line)
@@ -118,9 +223,7 @@ def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
             solid, lines = solid + own, lines + 1
             ended += bool(_ENDED.search(line.rstrip()))
             if _structured(line, own, _odd(line)):
-                some = _WORD.findall(line)
-                words += some
-                common += [w for w in some if w in _ANY]
+                words += _WORD.findall(line)
             else:
                 kept.append(line)
         if not kept:
@@ -131,40 +234,38 @@ def statistics_of(text: str) -> tuple[dict[str, float], str | None]:
             some = _WORD.findall(unit)
             if not some:
                 continue
-            known = [w for w in some if w in _ANY]
-            if _running(unit, some, len(known)):
+            short = sum([len(w) < 4 and w.isalpha() for w in some])
+            if _running(unit, some, short) and not (suspicious and learned.letter_surprise(unit) > learned.random):
                 running += _solid(unit)
             words += some
-            common += known
     n, joined = len(words), "".join(words)
     digits = sum(map(joined.count, "0123456789"))
-    by = {lang: sum(map(own.__contains__, common)) for lang, own in _COMMON.items()}
-    best = max(by, key=by.get)
+    by = {lang: sum(map(own.__contains__, words)) for lang, own in learned.common.items()}
+    best = max(by, key=lambda lang: (by[lang], lang)) if by else None
+    most = by[best] if by else 0
     found = {
         "words": n,
         "word_length": len(joined) / n if n else 0.0,
         "symbol_share": (solid - len(joined)) / solid if solid else 0.0,
         "digit_share": digits / solid if solid else 0.0,
         "ended_lines": ended / lines if lines else 0.0,
-        "common_words": by[best] / n if n else 0.0,
+        "common_words": most / n if n else 0.0,
         "distinct_words": len(set(words)) / n if n else 0.0,
+        "letter_surprise": surprise,
         "sentence_share": running / solid if solid else 0.0,
     }
-    return found, best if by[best] >= 3 else None
-
+    return found, best if most >= 3 else None
 
-def rounded(name: str, value: float) -> float:
-    """A statistic on a grid, for display: shares in thousandths, sizes in hundredths of their decimal logarithm. Nothing is ranked or decided by it."""
-    return round(math.log10(1 + value), 2) if name in LOGARITHMIC else round(value, 3)
 
-
-def text_statistics(rows: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+def text_statistics(rows: DataFrame, key: str, text: str, lang: str, learned: Learned | None = None) -> DataFrame:
     """(key, lang, statistics…): one row for each text that isn't null or blank, statistics unrounded.
 
-    lang is the language whose common words the text uses, else the stated one if it is of COMMON, else 'und'. Whole
-    texts are read where they lie, in Arrow batches, without a shuffle. Null, empty and blank texts give no row,
-    repeated rows each one; an empty table stays empty; other columns are not read.
+    lang is the language whose common words the text uses, else the stated one if it is one of the corpus, else 'und'.
+    `learned`: by default what these very texts teach. Whole texts are read where they lie, in Arrow batches, without a
+    shuffle. Null, empty and blank texts give no row, repeated rows each one; an empty table stays empty; other columns
+    are not read.
     """
+    learned = learned or learn(rows, text, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,10 +273,10 @@ def text_statistics(rows: DataFrame, key: str, text: str, lang: str) -> DataFram
             for i, (value, stated) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 if not value or value.isspace():
                     continue
-                found, spoken = statistics_of(value)
+                found, spoken = statistics_of(value, learned)
                 at.append(i)
-                said = (stated or "").strip().lower()
-                langs.append(spoken or (said if said in COMMON else UNKNOWN))
+                said = stated_language(stated)
+                langs.append(spoken or (said if said in learned.common else UNKNOWN))
                 for name, x in found.items():
                     values[name].append(x)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(langs, pa.string()), *(pa.array(v, pa.int64() if name == "words" else pa.float64()) for name, v in values.items())], names=[key, "lang", *values])
@@ -201,9 +302,14 @@ def exact_ranks(counts: DataFrame, group: list[str], value: str, n: str = "n", r
     return ranked.withColumns({"upto": F.col("__offset") + F.col("__running"), "below": F.col("__offset") + F.col("__running") - F.col(n)}).drop("__range", "__running", "__offset")
 
 
-#: A value that more than one in so many of its group's documents have is sent to every task with its tail
-#: probability: at most this number of values for each statistic of a language. All others are joined by shuffle.
+#: A value that more than one in so many of its group's documents have is sent to every task with its surprise: at
+#: most this number of values for each statistic of a language. All others are joined by shuffle.
 FREQUENT = 256
+#: Share of running sentences from which a text is prose.
+PROSE = 0.5
+#: Score from which a text is an outlier of its language. Prose scores about 0.7 in the mean, by chance alone; a text
+#: without sentences that is like prose in everything else scores about 2.1 and is none.
+OUTLIER = 2.25
 
 
 def _long(stats: DataFrame, *keep: str) -> DataFrame:
@@ -211,55 +317,48 @@ def _long(stats: DataFrame, *keep: str) -> DataFrame:
     return stats.select(*keep, F.inline(F.array(*(F.struct(F.lit(name).alias("statistic"), F.col(name).cast("double").alias("value")) for name in STATISTICS))))
 
 
-def tail_probabilities(stats: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(lang, statistic, value, n, total, surprise), and the languages ranked by themselves; 'und' stands for all documents.
+def tail_probabilities(stats: DataFrame) -> DataFrame:
+    """(lang, statistic, value, surprise, frequent) for each value of a statistic in a language; 'und' stands for all documents.
 
-    surprise: minus the logarithm of the share of the group's documents that are at least as odd. n of the group's
-    `total` documents have the value.
+    surprise: minus the logarithm of the share of the language's prose (its documents of mostly running sentences) that
+    is at least as odd, at most MOST_SURPRISE, which also is that of values no prose reaches. Ranks are taken among prose
+    only, so they stay the same however much of a language is something else; a language without prose finds every
+    value odd. Every language is ranked by itself, at every size. frequent: see FREQUENT.
     """
-    counts = cut(_long(stats, "lang").groupBy("lang", "statistic", "value").agg(F.count(F.lit(1)).alias("n")))
-    sizes = counts.filter(F.col("statistic") == "words").groupBy("lang").agg(F.sum("n").alias("n")).collect()  # one row for each of COMMON, and 'und'
-    ranked_alone = sorted(r["lang"] for r in sizes if r["lang"] != UNKNOWN and r["n"] >= LEAST_RANKED)
-    everyone = counts.groupBy(F.lit(UNKNOWN).alias("lang"), "statistic", "value").agg(F.sum("n").alias("n"))
-    ranked = exact_ranks(counts.filter(F.col("lang").isin(ranked_alone)).unionByName(everyone), ["lang", "statistic"], "value", ranges=max(32, partitions_of(stats.sparkSession)))
+    prose = F.sum(F.when(F.col("__prose"), 1).otherwise(0)).alias("n")
+    marked = stats.withColumn("__prose", F.col("sentence_share") >= PROSE)
+    counts = cut(_long(marked, "lang", "__prose").groupBy("lang", "statistic", "value").agg(prose, F.count(F.lit(1)).alias("all")))
+    everyone = counts.groupBy(F.lit(UNKNOWN).alias("lang"), "statistic", "value").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
+    both = counts.filter(F.col("lang") != UNKNOWN).unionByName(everyone)
+    ranked = exact_ranks(both, ["lang", "statistic"], "value", ranges=max(32, partitions_of(stats.sparkSession)))
     low, high = F.col("upto") / F.col("total"), (F.col("total") - F.col("below")) / F.col("total")
     direction = F.create_map(*(F.lit(x) for pair in STATISTICS.items() for x in pair))[F.col("statistic")]
     tail = F.when(direction < 0, low).when(direction > 0, high).otherwise(F.least(F.lit(1.0), 2 * F.least(low, high)))
-    return ranked.select("lang", "statistic", "value", "n", "total", (-F.log(tail)).alias("surprise")), ranked_alone
+    surprise = F.when((F.col("total") > 0) & (tail > 0), F.least(-F.log(tail), F.lit(MOST_SURPRISE))).otherwise(F.lit(MOST_SURPRISE))
+    sizes = counts.filter("statistic = 'words'").groupBy("lang").agg(F.sum("all").alias("documents"))
+    sizes = sizes.filter(F.col("lang") != UNKNOWN).unionByName(sizes.agg(F.lit(UNKNOWN).alias("lang"), F.coalesce(F.sum("documents"), F.lit(0)).alias("documents")))
+    return ranked.join(F.broadcast(sizes), "lang").select("lang", "statistic", "value", surprise.alias("surprise"), (F.col("all") * FREQUENT > F.col("documents")).alias("frequent"))
 
 
-def outlier_scores(stats: DataFrame) -> DataFrame:
-    """`stats` with `score`: the weighted mean surprise over all statistics; about 1 is what chance alone gives.
-
-    And with `examined`, the score from which texts of its group are examined. The score of a text is at least the
-    weight of one of its statistics times that one's surprise. So a text whose sentence share is under PROSE scores
-    no less than 0.42 times minus the logarithm of the share of such texts in its group. `examined` is that bound
-    where it is below EXAMINED: however much of a language is no prose, the score leaves none of it out.
-    """
+def outlier_scores(stats: DataFrame, only: Column | None = None) -> DataFrame:
+    """`stats` with `score`: the weighted mean surprise over all statistics. `only`: the texts to score, ranked among all the same."""
     marked = cut(stats.withColumn("__id", F.monotonically_increasing_id()))  # written down, so a task that runs again finds the same ids
-    tails, ranked_alone = tail_probabilities(marked)
-    tails = cut(tails)
-    marked = marked.withColumn("__group", F.when(F.col("lang").isin(ranked_alone), F.col("lang")).otherwise(UNKNOWN))
-    own = tails.select(F.col("lang").alias("__group"), "statistic", "value", "surprise", (F.col("n") * FREQUENT > F.col("total")).alias("__frequent"))
-    on = ["__group", "statistic", "value"]
-    seen = _long(marked, "__id", "__group").join(F.broadcast(own.filter("__frequent").drop("__frequent")), on, "left")
-    rest = seen.filter("surprise is null").drop("surprise").join(own.filter("not __frequent").drop("__frequent"), on)
+    own = cut(tail_probabilities(marked))
+    on = ["lang", "statistic", "value"]
+    asked = marked if only is None else marked.filter(only)
+    seen = _long(asked, "__id", "lang").join(F.broadcast(own.filter("frequent").drop("frequent")), on, "left")
+    rest = seen.filter("surprise is null").drop("surprise").join(own.filter("not frequent").drop("frequent"), on)
     both = seen.filter("surprise is not null").select("__id", "statistic", "surprise").unionByName(rest.select("__id", "statistic", "surprise"))
-    each = both.groupBy("__id").agg(*(F.max(F.when(F.col("statistic") == name, F.col("surprise"))).alias(f"__{name}") for name in STATISTICS))
-    scored, total = marked.join(each, "__id", "left"), F.lit(0.0)
-    for name in STATISTICS:
-        total = total + F.col(f"__{name}") * WEIGHTS[name]
-    least = tails.filter((F.col("statistic") == "sentence_share") & (F.col("value") < PROSE)).groupBy(F.col("lang").alias("__group")).agg(F.min("surprise").alias("__least"))  # one row a group
-    bound = F.col("__least") * WEIGHTS["sentence_share"] / sum(WEIGHTS.values())
-    scored = scored.join(F.broadcast(least), "__group", "left")
-    return scored.withColumns({"score": total / sum(WEIGHTS.values()), "examined": F.least(F.lit(EXAMINED), bound)}).select(*stats.columns, "score", "examined")
-
-
-#: Outlier score from which a text is examined at the latest, and share of running sentences under which it is no prose.
-EXAMINED = 0.25
-PROSE = 0.5
+    weight = F.create_map(*(F.lit(x) for pair in WEIGHTS.items() for x in pair))[F.col("statistic")]
+    each = both.groupBy("__id").agg((F.sum(weight * F.col("surprise")) / sum(WEIGHTS.values())).alias("score"))
+    return asked.join(each, "__id").select(*stats.columns, "score")
+
+
+def no_sentences() -> Column:
+    """Whether less than half of a text is running sentences."""
+    return F.col("sentence_share") < PROSE
 
 
 def no_prose() -> Column:
-    """Whether a scored text consists for the most part of something other than running sentences."""
-    return (F.col("score") >= F.col("examined")) & (F.col("sentence_share") < PROSE)
+    """Whether a scored text is an outlier and consists for the most part of something other than running sentences."""
+    return (F.col("score") >= OUTLIER) & no_sentences()
