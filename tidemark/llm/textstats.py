@@ -108,6 +108,8 @@ def _odd(line: str) -> int:
 #: Letters whose pairs are counted: those of the Latin scripts up to U+017F. Others say nothing about letters.
 LETTERS = [chr(c) for c in range(0x61, 0x180) if chr(c).islower() and chr(c).isalpha()]
 _SIZE = len(LETTERS) + 1
+#: Pairs of letters that are held before they are counted.
+_PAIRS_HELD = 1 << 20
 _NUMBER = np.zeros(1 << 16, np.int32)
 _NUMBER[[ord(c) for c in LETTERS]] = np.arange(1, _SIZE)
 
@@ -126,6 +128,11 @@ class Learned:
     common: dict[str, frozenset[str]] = field(default_factory=dict)
     pairs: dict[int, int] = field(default_factory=dict)
 
+    @cached_property
+    def anywhere(self) -> frozenset[str]:
+        """Words that are common in any language."""
+        return frozenset().union(*self.common.values())
+
     @cached_property
     def _letters(self) -> tuple[np.ndarray, float, float]:
         """The surprise, in bits, of each pair's second letter after its first, and its mean over the corpus and over letters drawn at random."""
@@ -171,7 +178,7 @@ def learn(rows: DataFrame, text: str, lang: str) -> Learned:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words: dict[str, Counter] = {}
-            sizes, pairs = Counter(), np.zeros(_SIZE * _SIZE, np.int64)
+            sizes, pairs, held, size = Counter(), np.zeros(_SIZE * _SIZE, np.int64), [], 0
             for value, stated in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not value or value.isspace():
                     continue
@@ -179,11 +186,18 @@ def learn(rows: DataFrame, text: str, lang: str) -> Learned:
                 sizes[own] += 1
                 words.setdefault(own, Counter()).update(set(_WORD.findall(lower)))
                 found = letter_pairs(lower)
-                pairs += np.bincount(found, minlength=len(pairs))
-            some = np.flatnonzero(pairs)
-            counted = [("documents", own, "", n) for own, n in sizes.items()] + [("word", own, w, n) for own, c in words.items() for w, n in c.items()]
-            counted += [("pair", "", str(i), int(pairs[i])) for i in some]
-            yield pa.RecordBatch.from_pylist([dict(zip(("kind", "lang", "what", "n"), c, strict=True)) for c in counted], pa.schema([("kind", pa.string()), ("lang", pa.string()), ("what", pa.string()), ("n", pa.int64())]))
+                held.append(found)
+                size += len(found)
+                if size > _PAIRS_HELD:
+                    pairs += np.bincount(np.concatenate(held), minlength=len(pairs))
+                    held, size = [], 0
+            if held:
+                pairs += np.bincount(np.concatenate(held), minlength=len(pairs))
+            some = np.flatnonzero(pairs).tolist()
+            parts = [("documents", own, ("",), (n,)) for own, n in sizes.items()] + [("word", own, c.keys(), c.values()) for own, c in words.items()] + [("pair", "", map(str, some), pairs[some].tolist())]
+            for kind, own, what, n in parts:
+                what, n = pa.array(what, pa.string()), pa.array(n, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.string()), pa.array([own] * len(n), pa.string()), what, n], names=["kind", "lang", "what", "n"])
 
     counts = cut(rows.select(F.col(text), F.col(lang)).mapInArrow(run, "kind string, lang string, what string, n long").groupBy("kind", "lang", "what").agg(F.sum("n").alias("n")))
     documents = counts.filter("kind = 'documents'")
@@ -240,7 +254,8 @@ def statistics_of(text: str, learned: Learned) -> tuple[dict[str, float], str |
             words += some
     n, joined = len(words), "".join(words)
     digits = sum(map(joined.count, "0123456789"))
-    by = {lang: sum(map(own.__contains__, words)) for lang, own in learned.common.items()}
+    common = [w for w in words if w in learned.anywhere]
+    by = {lang: sum(map(own.__contains__, common)) for lang, own in learned.common.items()}
     best = max(by, key=lambda lang: (by[lang], lang)) if by else None
     most = by[best] if by else 0
     found = {
