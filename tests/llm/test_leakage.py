@@ -3,7 +3,14 @@ import random
 import pytest
 
 from tidemark.llm import leakage
-from tidemark.llm.leakage import WuManber, find_leaks, leak_report, words_of
+from tidemark.llm.leakage import Passages, WuManber, find_leaks, leak_report, words_of
+
+
+def searcher(items, length):
+    passages = Passages()
+    for item, words in items:
+        passages.add(item, words)
+    return WuManber(passages, length)
 
 
 def brute(items, words, length):
@@ -27,15 +34,15 @@ def test_search_against_brute_force(length):
     for _ in range(300):
         items = [(i, random.choices("abcd", k=random.randrange(0, 9))) for i in range(4)]
         words = random.choices("abcde", k=random.randrange(0, 40))
-        assert WuManber(items, length).search(words) == brute(items, words, length)
+        assert searcher(items, length).search(words) == brute(items, words, length)
 
 
 def test_a_pattern_of_several_items_names_them_all():
     w = "a b c d".split()
-    assert WuManber([(1, w), (2, ["x", *w])], 3).search("z b c d".split()) == {1, 2}
-    assert WuManber([], 3).search(w) == set() and WuManber([(1, w)], 5).search(w * 3) == set()
+    assert searcher([(1, w), (2, ["x", *w])], 3).search("z b c d".split()) == {1, 2}
+    assert searcher([], 3).search(w) == set() and searcher([(1, w)], 5).search(w * 3) == set()
     with pytest.raises(ValueError):
-        WuManber([], 1)
+        searcher([], 1)
 
 
 ITEM = "um dois três quatro cinco seis sete oito nove dez onze doze treze quatorze"
@@ -67,3 +74,13 @@ def test_empty_tables(tables):
     docs, items = tables
     assert find_leaks(docs.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
     assert find_leaks(docs, "doc_id", "text", items.limit(0), "item_id", "text").count() == 0
+
+
+def test_tables_stay_small():
+    """A passage costs some tens of bytes beside its words' numbers, whatever the number of items."""
+    random.seed(9)
+    words = [f"w{i}" for i in range(3000)]
+    tables = searcher([(i, random.choices(words, k=60)) for i in range(4000)], 12)
+    size = len(tables.shift) + 8 * (len(tables.index) + len(tables.places)) + 4 * len(tables.passages.flat)
+    assert tables.patterns == 4000 * 49 and size < 120 * tables.patterns
+    assert tables.search(random.choices(words, k=500)) == set() and tables.search([*words, *[list(tables.passages.vocabulary)[n] for n in tables.passages.flat[60:120]]]) >= {1}

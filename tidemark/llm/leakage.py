@@ -11,17 +11,21 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+import uuid
+from array import array
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words of test items searched for in one pass over the texts; more are searched in blocks of items of this size.
 WORDS_A_PASS = 2_000_000
-BLOCK = 2
+#: Words of a block, and the odd number that spreads its first word's number over the hashes.
+BLOCK, SPREAD = 2, 0x9E3779B1
 
 
 def _mark_ranges(first: int, last: int) -> str:
@@ -87,78 +91,118 @@ def words_of(text: str | None) -> list[str]:
     return _words().of(text)
 
 
+class Passages:
+    """Test items as numbers: their words numbered by a vocabulary and laid end to end, and where each item begins."""
+
+    def __init__(self):
+        self.vocabulary: dict[str, int] = {}
+        self.flat, self.begins, self.items = array("i"), array("q"), []
+
+    def add(self, item: int, words: Sequence[str]) -> None:
+        number = self.vocabulary.setdefault
+        self.begins.append(len(self.flat))
+        self.items.append(item)
+        self.flat.extend([number(w, len(self.vocabulary)) for w in words])
+
+
 class WuManber:
-    """Shift tables and buckets for patterns of `length` words each; a pattern may stand for several items."""
+    """Shift table and buckets for all passages of `length` words of some test items.
+
+    Both tables are arrays over a hash of two-word blocks, so a passage costs some 30 bytes besides its words' numbers:
+    the shift of a hash is the least of its blocks', and a bucket lists the places in `flat` where its passages begin.
+    """
 
-    def __init__(self, items: Iterable[tuple[int, Sequence[str]]], length: int):
+    def __init__(self, passages: Passages, length: int):
         if length < BLOCK:
             raise ValueError(f"patterns need at least {BLOCK} words")
-        self.length = length
-        patterns: dict[tuple[str, ...], set[int]] = defaultdict(set)
-        for item, words in items:
-            for i in range(len(words) - length + 1):
-                patterns[tuple(words[i : i + length])].add(item)
-        self.patterns = len(patterns)
-        most = length - BLOCK + 1
-        self.shift: dict[tuple[str, str], int] = {}
-        self.buckets: dict[tuple[str, str], dict[tuple[str, str], list]] = defaultdict(lambda: defaultdict(list))
-        for pattern, named in patterns.items():
-            for end in range(BLOCK - 1, length):
-                block, far = pattern[end - 1 : end + 1], length - 1 - end
-                if far < self.shift.get(block, most):
-                    self.shift[block] = far
-            self.buckets[pattern[-BLOCK:]][pattern[:BLOCK]].append((list(pattern), tuple(sorted(named))))
-        self.buckets = {k: dict(v) for k, v in self.buckets.items()}
+        self.length, self.passages, self.numbers = length, passages, passages.vocabulary.get
+        flat, begins = np.asarray(passages.flat, np.int32), np.asarray(passages.begins, np.int64)
+        ends = np.append(begins[1:], len(flat)) if len(begins) else begins
+        inside = [np.arange(b, e - length + 1) for b, e in zip(begins.tolist(), ends.tolist(), strict=True) if e - b >= length]
+        starts = np.concatenate(inside) if inside else np.zeros(0, np.int64)
+        self.patterns = len(starts)
+        bits = max(10, int(self.patterns * 4).bit_length())
+        self.mask = (1 << bits) - 1
+        shift = np.full(1 << bits, length - BLOCK + 1, np.uint8 if length < 255 else np.int32)
+        for end in range(length - 1, BLOCK - 2, -1):
+            np.minimum.at(shift, self._hashes(flat, starts + end), length - 1 - end)
+        suffix = self._hashes(flat, starts + length - 1)
+        order = np.argsort(suffix, kind="stable")
+        self.places = array("q", starts[order].tobytes())
+        self.index = array("q", np.concatenate([[0], np.cumsum(np.bincount(suffix, minlength=1 << bits))]).astype(np.int64).tobytes())
+        self.shift = shift.tobytes() if shift.dtype == np.uint8 else shift.tolist()
+
+    def _hashes(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return ((flat[at - 1].astype(np.int64) * SPREAD) ^ flat[at]) & self.mask
 
     def search(self, words: list[str]) -> set[int]:
-        """Items of which a pattern occurs among the words."""
+        """Items of which a passage occurs among the words."""
         found: set[int] = set()
-        n, shift, most = len(words), self.shift.get, self.length - BLOCK + 1
-        at = self.length - 1
+        ids = array("i", [self.numbers(w, -1) for w in words])
+        n, length, shift, mask, flat = len(ids), self.length, self.shift, self.mask, self.passages.flat
+        at = length - 1
         while at < n:
-            step = shift((words[at - 1], words[at]), most)
+            last, before = ids[at], ids[at - 1]
+            if last < 0 or before < 0:  # no passage holds this word: go on behind it
+                at += length if last < 0 else length - 1
+                continue
+            key = (before * SPREAD ^ last) & mask
+            step = shift[key]
             if step:
                 at += step
                 continue
-            begin = at - self.length + 1
-            for pattern, named in self.buckets[words[at - 1], words[at]].get((words[begin], words[begin + 1]), ()):
-                if words[begin : at + 1] == pattern:
-                    found.update(named)
+            begin = at - length + 1
+            for i in range(self.index[key], self.index[key + 1]):
+                place = self.places[i]
+                if flat[place] == ids[begin] and flat[place : place + length] == ids[begin : at + 1]:
+                    found.add(self.passages.items[bisect_right(self.passages.begins, place) - 1])
             at += 1
         return found
 
 
-def blocks_of_items(items: DataFrame, item: str, text: str, length: int) -> list[list[tuple[int, list[str]]]]:
-    """The test items' words, in blocks of at most WORDS_A_PASS words (one longer item is a block of its own)."""
-    blocks: list[list[tuple[int, list[str]]]] = [[]]
-    size = 0
+def blocks_of_items(items: DataFrame, item: str, text: str, length: int) -> Iterator[Passages]:
+    """The test items in blocks of at most WORDS_A_PASS words (one longer item is a block of its own), one block at a time."""
+    block = Passages()
     for row in items.select(item, text).filter(F.col(item).isNotNull()).toLocalIterator():
         words = words_of(row[1])
         if len(words) < length:
             continue
-        if size and size + len(words) > WORDS_A_PASS:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row[0], words))
-        size += len(words)
-    return blocks
+        if block.items and len(block.flat) + len(words) > WORDS_A_PASS:
+            yield block
+            block = Passages()
+        block.add(row[0], words)
+    yield block
+
+
+#: Tables of the block searched last, kept by each Python worker for its next task.
+_BUILT: dict[tuple, WuManber] = {}
+
+
+def _tables(key: tuple, passages: Callable[[], Passages], length: int) -> WuManber:
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = WuManber(passages(), length)
+    return _BUILT[key]
 
 
 def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str, length: int = 12) -> DataFrame:
     """(key, item): corpus rows that hold at least `length` consecutive words of a test item, in order, with no others between.
 
-    The test items are the stated query set: they go to every task in blocks of bounded size, each block against all
-    corpus rows, whole texts, without a shuffle. Items of fewer words leak nowhere; null texts hold nothing; words in
+    The test items are the stated query set: they go to every worker in blocks of bounded size, each block against all
+    corpus rows, whole texts, without a shuffle. The driver holds one block at a time, on its way to the broadcast's
+    file; a worker builds a block's tables once. Items of fewer words leak nowhere; null texts hold nothing; words in
     several items are reported for each; a repeated corpus row comes out again; without test items there are no rows.
     """
     kind, item_kind = corpus.schema[key].dataType.simpleString(), items.schema[item].dataType.simpleString()
     texts = corpus.select(F.col(key), F.col(text)).filter(F.col(text).isNotNull())
+    context = corpus.sparkSession.sparkContext
     found = None
     for block in blocks_of_items(items, item, item_text, length):
-        shared = corpus.sparkSession.sparkContext.broadcast(block)
+        shared = context.broadcast(block)
+        name = (context.applicationId, uuid.uuid4().hex, length)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            tables = WuManber(shared.value, length)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            tables = _tables(name, lambda: shared.value, length)
             for batch in batches:
                 rows, named = [], []
                 for i, value in enumerate(batch.column(1)):
