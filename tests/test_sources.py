@@ -14,7 +14,7 @@ from tidemark.plans import jobs
 from tidemark.sources import extraction, generator, landing, readers
 from tidemark.sources.contracts import COLUMNS, TABLES
 from tidemark.sources.extraction import ExtractionRefused, Remote, Response, WebDav
-from tidemark.sources.generator import PROFILES, Stream, StreamRefused, deliveries, json_lines, validated_pool
+from tidemark.sources.generator import PROFILES, Stream, StreamRefused, deliveries, json_lines, refuse_misplaced, validated_pool
 from tidemark.sources.landing import LandingRefused
 from tidemark.streaming import ingest, measures
 
@@ -188,8 +188,13 @@ def test_an_exhausted_pool_is_refused_and_a_small_one_gives_distinct_rows(spark)
 
 
 def test_profiles_and_refusals(spark):
-    assert set(PROFILES) == {"clean", "promotable", "drifting", "between-snapshots", "cross-currency"}
-    assert PROFILES["promotable"].stream(POOL).duplicates == 150
+    assert all(name == p.name and p.stream(POOL).stream_id == p.stream_id for name, p in PROFILES.items()) and len({p.seed for p in PROFILES.values()}) == len(PROFILES)
+    assert PROFILES["messy"].stream(POOL).duplicates == 210
+    april = PROFILES["no-snapshot"].stream(POOL)
+    refuse_misplaced(april, april.start_ms, april.start_ms + april.events * april.interval_ms)
+    for after, before in ((april.start_ms + 1, 1 << 50), (0, april.start_ms + 5)):
+        with pytest.raises(StreamRefused):
+            refuse_misplaced(april, after, before)
     for over in ({"stream_id": "lower"}, {"repeats": 60}, {"events": 0}, {"pool": POOL[::-1]}, {"currencies": ("USD", "BRL")}, {"late": 1}, {"late": 1, "late_by_ms": 10}, {"undeclared_from": 0}, {"duplicates": 99}):
         with pytest.raises(StreamRefused):
             stream(**over)

@@ -463,7 +463,7 @@ def stream_ingest(spark, folder):
 def generated_stream(spark, folder):
     """Rows, identities, business tuples and late rows of a generated stream: exactly the numbers asked for."""
     pool = generator.pool_of(table(spark, folder, "hub_empresa"), "cnpj_basico", 40, 7)
-    s = generator.PROFILES["promotable"].stream(pool, events=4000, repeats=300)
+    s = generator.PROFILES["messy"].stream(pool, events=4000, repeats=300)
     rows = cut(generator.deliveries(spark, s))
     late = measures.late_arrivals(rows.select("transaction_id", event_micros(F.col("event_time")).alias("e"), event_micros(F.col("emitted_at")).alias("m")), "e", "m")
     one = lambda df, *c: df.select(*c).distinct().agg(F.count(F.lit(1)).alias("n"))
