@@ -134,6 +134,6 @@ def test_every_month_of_orders_is_compared_with_the_next(spark, duck):
 
     from tidemark.plans import model_queries
 
-    got = {r.period for r in model_queries.queries()["snapshot_diff_orders_months"](spark, DATA).select("period").distinct().collect()}
+    got = {r.period for r in model_queries.queries()["snapshot_diff_orders"](spark, DATA).select("period").distinct().collect()}
     months = sorted(m for (m,) in duck.sql("SELECT DISTINCT strftime(o_orderdate, '%Y-%m') FROM orders").fetchall())
     assert len(months) > 2 and got == set(months[1:])

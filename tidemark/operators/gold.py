@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.identity import message_id
 from tidemark.functions.times import date_of, day_of, event_micros, instant_literal, midnight, published_instant, utc_day
-from tidemark.operators.asof import asof_join, bucket_of
+from tidemark.operators.asof import Reach, asof_join, bucket_of
 from tidemark.operators.redelivery import one_of_each
 from tidemark.operators.skew import hot_keys
-from tidemark.session import cut
+from tidemark.session import written
 from tidemark.store import append, append_new, new_rows, rows_in, table_exists
 
 #: Start of first versions, end of open ones, key of the row without attributes. (fixed values)
@@ -146,6 +146,23 @@ def pit_rows(hub: DataFrame, hash_key: str, satellites: dict[str, DataFrame], as
     return rows.filter(any_)
 
 
+def lost_keys(hub: DataFrame, hash_key: str, satellites: dict[str, DataFrame]) -> DataFrame:
+    """(satellite, hash key) of satellite keys that the hub lacks; a point-in-time table has no rows for them."""
+    all_ = None
+    for name, rows in satellites.items():
+        own = rows.select(F.lit(name).alias("satellite"), hash_key).filter(F.col(hash_key).isNotNull()).distinct()
+        all_ = own if all_ is None else all_.unionByName(own)
+    there = hub.select(F.col(hash_key).alias("__held")).distinct()
+    return all_.join(there, F.col(hash_key) == F.col("__held"), "left_anti")
+
+
+def refuse_lost_keys(hub: DataFrame, hash_key: str, satellites: dict[str, DataFrame]) -> None:
+    """Refuses satellites with keys the hub lacks: their rows would vanish from what is built on the hub."""
+    found = {r["satellite"]: r["n"] for r in lost_keys(hub, hash_key, satellites).groupBy("satellite").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if found:
+        raise BuildRefused(f"keys the hub lacks: {found}")
+
+
 def load_pit(rows: DataFrame, table: str, hash_key: str, as_of_name: str = "as_of_date") -> int:
     """Appends as-of dates the table doesn't hold; one before those it holds is refused, it would need older rows rewritten."""
     spark = rows.sparkSession
@@ -248,31 +265,54 @@ class PaymentFact:
     natural: str = "cnpj_basico"
 
 
-def fact_rows(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, load_date: Column, fact: PaymentFact | None = None, record_source: str = "gold_build") -> DataFrame:
-    """One row per delivered identity: roles and rates resolved as of the event, conformed keys, amounts.
+#: Why a payment can't become a fact row.
+UNREADABLE, NO_RATE = "unreadable_instant_or_amount", "no_rate"
 
-    Deliveries are reduced to one before anything is joined. Each role meets the dimension by interval join, with hot
-    companies split; a role without a version has the ghost's key. Unreadable instants and amounts, and payments no
-    rate can be resolved for, are refused.
+
+def resolved_payments(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, fact: PaymentFact | None = None) -> DataFrame:
+    """One row per delivered identity with both roles, the rate, and `refusal`: why it can't become a fact row, else null.
+
+    Deliveries are reduced to one before anything is joined, readable ones before others, and written down once. The
+    companies of both roles, with the span of each one's events, decide which versions of the dimension take part: the
+    versions are reduced and exploded once and meet each role by interval join, with hot companies split.
     """
     fact = fact or PaymentFact()
     columns = ["transaction_id", "event_time", "emitted_at", *fact.roles.values(), "amount", "currency", "payment_method", "_record_source"]
-    one = one_of_each(payments.select(*columns).filter(message_id(F.col("transaction_id")).isNotNull()), message_id(F.col("transaction_id")), columns)
-    read = one.withColumns({"transaction_id": message_id(F.col("transaction_id")), "__at": event_micros(F.col("event_time")), "__amount": F.col("amount").try_cast(AMOUNT)})
-    events = cut(read.select("transaction_id", "event_time", *fact.roles.values(), "currency", "payment_method", "__at", "__amount"))  # written down once, read by every pass below
-    found = events.agg(F.min("__at").alias("a"), F.max("__at").alias("b"), F.count(F.when(F.col("__at").isNull() | F.col("__amount").isNull(), 1)).alias("bad")).first()
-    if found["bad"]:
-        raise BuildRefused(f"{found['bad']} payments whose instant or amount can't be read")
-    first, last = found["a"] or 0, found["b"] or 0
-    rated = with_rates(events, intervals, "__at", "currency", span=(first, last))
-    if rated.filter(F.col("fx_rate").isNull()).limit(1).count():
-        raise BuildRefused("payments no rate can be resolved for")
+    unread = (event_micros(F.col("event_time")).isNull() | F.col("amount").try_cast(AMOUNT).isNull()).alias("__unread")
+    rows = payments.filter(message_id(F.col("transaction_id")).isNotNull()).select(*columns, unread)
+    one = one_of_each(rows, message_id(F.col("transaction_id")), ["__unread", *columns])
+    read = one.select(
+        message_id(F.col("transaction_id")).alias("transaction_id"), "event_time", *fact.roles.values(), "currency", "payment_method",
+        event_micros(F.col("event_time")).alias("__at"), F.col("amount").try_cast(AMOUNT).alias("__amount"),
+    )
+    events = written(read, "payment-events")
+    span = events.agg(F.min("__at").alias("a"), F.max("__at").alias("b")).first()
+    rated = with_rates(events, intervals, "__at", "currency", span=(span["a"] or 0, span["b"] or 0))
+    refusal = F.when(F.col("__at").isNull() | F.col("__amount").isNull(), UNREADABLE).when(F.col("fx_rate").isNull(), NO_RATE)
+    rated = rated.withColumn("refusal", refusal)
+    parties = events.select("__at", F.explode(F.array(*fact.roles.values())).alias("__party"))
+    reach = Reach(parties, "__party", "__at")
     versions = dimension.filter(F.col(fact.surrogate) != GHOST)
     for key, column in fact.roles.items():
-        own = versions.select(F.col(fact.natural).alias(column), F.col(fact.surrogate).alias(key), F.unix_micros("valid_from").alias("valid_from"), F.unix_micros("valid_to").alias("valid_to"))
-        hot, _ = hot_keys(events, [column])
-        rated = asof_join(rated, own, column, "__at", first=first, last=last, days=64, hot=hot, salt_on=["transaction_id"]).drop("valid_from", "valid_to")
-    return rated.select(
+        own = versions.select(F.col(fact.natural).alias("__party"), F.col(fact.surrogate).alias(key), F.unix_micros("valid_from").alias("valid_from"), F.unix_micros("valid_to").alias("valid_to"))
+        met = asof_join(rated.withColumn("__party", F.col(column)), own, "__party", "__at", reach=reach, days=64, salt_on=["transaction_id"])
+        rated = met.drop("valid_from", "valid_to", "__party")
+    return rated
+
+
+def fact_rows(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, load_date: Column, fact: PaymentFact | None = None, record_source: str = "gold_build", refuse: bool = True) -> DataFrame:
+    """One row per delivered identity: roles and rates resolved as of the event, conformed keys, amounts.
+
+    A role without a version has the ghost's key. Unreadable instants and amounts, and payments no rate can be resolved
+    for, are refused; without `refuse` they stay out, see `refused_payments`.
+    """
+    fact = fact or PaymentFact()
+    resolved = resolved_payments(payments, dimension, intervals, fact)
+    if refuse:
+        reasons = {r["refusal"]: r["n"] for r in refused_payments(resolved).groupBy("refusal").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if reasons:
+            raise BuildRefused(f"payments that can't become fact rows: {reasons}")
+    return resolved.filter(F.col("refusal").isNull()).select(
         *(F.coalesce(k, F.lit(GHOST).cast("long")).alias(k) for k in fact.roles),
         date_key(date_of(utc_day(F.col("__at")))).alias("event_date_key"), date_key(F.col("fx_rate_date")).alias("fx_rate_date_key"),
         F.xxhash64("payment_method").alias("channel_key"), F.xxhash64("currency").alias("currency_key"), "transaction_id",
@@ -281,6 +321,32 @@ def fact_rows(payments: DataFrame, dimension: DataFrame, intervals: DataFrame, l
     )
 
 
+def refused_payments(resolved: DataFrame) -> DataFrame:
+    """(transaction_id, refusal) of payments that can't become fact rows."""
+    return resolved.filter(F.col("refusal").isNotNull()).select("transaction_id", "refusal")
+
+
+def fact_accounts(payments: DataFrame, content: Sequence[str], held: DataFrame | None = None) -> DataFrame:
+    """What a fact's source and, once loaded, its rows add up to: (measure, n).
+
+    deliveries and identities of the source, business tuples (distinct `content`, nulls equal), legitimate repeats (other
+    identities with the content of one before), redeliveries; of `held` its rows, identities, and identities that the
+    source has and it lacks.
+    """
+    named = payments.filter(message_id(F.col("transaction_id")).isNotNull()).select(message_id(F.col("transaction_id")).alias("id"), *content)
+    per = named.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*content)).alias("content"))
+    n = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("deliveries"), F.count(F.lit(1)).alias("identities"), F.count_distinct(F.struct("content")).alias("tuples"))
+    pairs = [("deliveries", F.col("deliveries")), ("identities", F.col("identities")), ("redeliveries", F.col("deliveries") - F.col("identities")), ("business_tuples", F.col("tuples")), ("legitimate_repeats", F.col("identities") - F.col("tuples"))]
+    source = n.select(F.inline(F.array(*(F.struct(F.lit(name).alias("measure"), c.cast("long").alias("n")) for name, c in pairs))))
+    if held is None:
+        return source
+    ids = held.groupBy(message_id(F.col("transaction_id")).alias("id")).agg(F.count(F.lit(1)).alias("rows"))
+    both = per.select("id", F.lit(1).alias("sent")).join(ids, "id", "full")
+    m = both.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count("rows").alias("held"), F.count(F.when(F.col("rows").isNull(), 1)).alias("lacking"))
+    loaded = m.select(F.inline(F.array(*(F.struct(F.lit(name).alias("measure"), F.col(c).cast("long").alias("n")) for name, c in (("fact_rows", "rows"), ("fact_identities", "held"), ("identities_lacking", "lacking"))))))
+    return source.unionByName(loaded)
+
+
 def load_fact(rows: DataFrame, table: str, payments: DataFrame, dimensions: dict[str, tuple[DataFrame, str]]) -> dict:
     """Appends identities the fact doesn't hold and reports: rows, identities, unresolved roles, orphans per key.
 

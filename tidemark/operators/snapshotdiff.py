@@ -39,11 +39,11 @@ def snapshot_changes(rows: DataFrame, key: Column, period: Column, content: Sequ
     return both.select("key", "period", kind.alias("change_kind")).filter(F.col("change_kind").isNotNull())
 
 
-def missed_by_watermark(changes: DataFrame, rows: DataFrame, key: Column, watermark: Column, since: Column) -> DataFrame:
-    """Changes (as of `snapshot_changes`, of one period) that an extract of `rows` with `watermark > since` would not deliver.
+def missed_by_watermark(changes: DataFrame, rows: DataFrame, key: Column, watermark: Column, since: Column, period: Column) -> DataFrame:
+    """Changes (as of `snapshot_changes`) that an extract of each period's rows with `watermark > since` would not deliver.
 
     Such an extract never shows removals, nor updates that left the watermark as it was or were committed behind it.
     Keys are compared as they are; a null watermark is never delivered.
     """
-    delivered = rows.filter(watermark > since).select(key.alias("__key")).distinct()
-    return changes.join(delivered, F.col("key") == F.col("__key"), "left_anti")
+    delivered = rows.filter(watermark > since).select(key.alias("__key"), period.alias("__period")).distinct()
+    return changes.join(delivered, (F.col("key") == F.col("__key")) & (F.col("period") == F.col("__period")), "left_anti")

@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 from tidemark.plans.data_oracle import _id, _instant, _key
+from tidemark.sources.contracts import CURRENCIES, PAYMENT_METHODS
 
 _WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(160)"
 
 
+def _xxhash64(text: str) -> int:
+    """The hash of a text by the reference implementation of XXH64, with the seed that Spark's function has."""
+    import xxhash
+
+    n = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return n - (1 << 64) if n >> 63 else n
+
+
 def _enc(c: str) -> str:
     t = f"upper(trim({c}, {_WHITE}))"
     return f"CASE WHEN {c} IS NULL THEN 'N' WHEN {c} = '' THEN 'E' WHEN {t} = '' THEN 'W' ELSE 'S' || length({t}) || ':' || {t} END"
@@ -146,6 +155,19 @@ SELECT coalesce(v.status, '(none yet)') AS status, count(*) AS lines, CAST(sum(e
 SELECT coalesce(a.company_sk, -1) AS payer_company_sk, coalesce(b.company_sk, -1) AS payee_company_sk, CAST(strftime(make_timestamp(p.us), '%Y%m%d') AS INTEGER) AS event_date_key, CAST(strftime(p.fx_rate_date, '%Y%m%d') AS INTEGER) AS fx_rate_date_key,
   p.id AS transaction_id, p.money AS amount, p.fx_rate, {_MONEY} AS amount_brl
 FROM priced p LEFT JOIN d a ON a.cnpj_basico = p.payer AND p.us >= a.f AND (a.t IS NULL OR p.us < a.t) LEFT JOIN d b ON b.cnpj_basico = p.payee AND p.us >= b.f AND (b.t IS NULL OR p.us < b.t) WHERE p.fx_rate IS NOT NULL""",
+        "fact_refused": f"""WITH {PRICED}, ids AS (SELECT DISTINCT {_id('transaction_id')} AS id FROM payments WHERE {_id('transaction_id')} IS NOT NULL)
+SELECT i.id AS transaction_id, CASE WHEN p.id IS NULL THEN 'unreadable_instant_or_amount' ELSE 'no_rate' END AS refusal FROM ids i LEFT JOIN priced p ON p.id = i.id WHERE p.id IS NULL OR p.fx_rate IS NULL""",
+        "fact_accounts": f"""WITH p AS (SELECT {_id('transaction_id')} AS id, {', '.join(PAYMENTS[3:])} FROM payments WHERE {_id('transaction_id')} IS NOT NULL),
+n AS (SELECT id, count(*) AS c FROM p GROUP BY 1), f AS (SELECT {_id('transaction_id')} AS id, count(*) AS c FROM fact_payment GROUP BY 1),
+o AS (SELECT DISTINCT ON (id) * FROM p ORDER BY id, {', '.join(f'{c} NULLS FIRST' for c in PAYMENTS[3:])}), t AS (SELECT count(*) AS v FROM (SELECT DISTINCT {', '.join(PAYMENTS[3:])} FROM o))
+SELECT 'deliveries' AS measure, CAST(sum(c) AS BIGINT) AS n FROM n UNION ALL SELECT 'identities', count(*) FROM n UNION ALL SELECT 'redeliveries', CAST(sum(c) - count(*) AS BIGINT) FROM n UNION ALL SELECT 'business_tuples', v FROM t
+UNION ALL SELECT 'legitimate_repeats', (SELECT count(*) FROM n) - v FROM t UNION ALL SELECT 'fact_rows', CAST(sum(c) AS BIGINT) FROM f UNION ALL SELECT 'fact_identities', count(*) FROM f
+UNION ALL SELECT 'identities_lacking', count(*) FROM n WHERE id NOT IN (SELECT id FROM f WHERE id IS NOT NULL)""",
+        "fact_hashed_keys": f"""WITH k AS (SELECT * FROM (VALUES {', '.join(f"('{m}', CAST({_xxhash64(m)} AS BIGINT))" for m in (*PAYMENT_METHODS, *CURRENCIES))}) v(member, key))
+SELECT 'payment_method' AS dimension, payment_method AS member, key FROM (SELECT DISTINCT payment_method FROM payments WHERE payment_method IS NOT NULL) LEFT JOIN k ON k.member = payment_method
+UNION ALL SELECT 'currency', currency, key FROM (SELECT DISTINCT currency FROM payments WHERE currency IS NOT NULL) LEFT JOIN k ON k.member = currency
+UNION ALL SELECT d, NULL, -1 FROM (VALUES ('payment_method'), ('currency')) g(d)""",
+        "pit_lost_keys": "SELECT DISTINCT 'sat_empresa_dados' AS satellite, hub_empresa_hk FROM sat_empresa_dados WHERE hub_empresa_hk IS NOT NULL AND hub_empresa_hk NOT IN (SELECT hub_empresa_hk FROM hub_empresa WHERE hub_empresa_hk IS NOT NULL)",
         "role_unresolved": "SELECT count(*) FILTER (WHERE payer_company_sk = -1) AS payer_company_sk, count(*) FILTER (WHERE payee_company_sk = -1) AS payee_company_sk FROM fact_payment",
         "orphan_keys": "SELECT role, count(*) AS orphans FROM (SELECT 'payer' AS role, payer_company_sk AS k FROM fact_payment UNION ALL SELECT 'payee', payee_company_sk FROM fact_payment) WHERE k NOT IN (SELECT company_sk FROM dim_company) GROUP BY 1",
         "reconcile_batch": f"{_accounts('_batch_id')} SELECT *, CASE WHEN verdict IN ('stranded_gated', 'stranded_unexplained') THEN 'promote_batch table=payments batch_id=' || _batch_id END AS remedy FROM v",
@@ -165,20 +187,19 @@ SELECT source, n AS bronze_rows, m AS last_snapshot_month, pa AS pipeline_age_da
         "task_telemetry": """WITH t AS (SELECT CAST(event_id // 4 AS VARCHAR) AS run_id, user_id % 20 AS job_id, user_id % 40 AS job_run_id, event_type AS task_key, ts AS s, ts + INTERVAL 1 HOUR AS e, CASE event_id % 4 WHEN 3 THEN 'SUCCEEDED' WHEN 1 THEN 'FAILED' END AS st FROM events WHERE event_type <> 'view'),
 runs AS (SELECT run_id, job_id, job_run_id, task_key, min(s) AS started_at, max(e) AS ended_at, (array_agg(st ORDER BY e DESC))[1] AS result_state, count(*) AS timeline_periods FROM t GROUP BY ALL),
 jobs AS (SELECT user_id % 15 AS job_id, max_by('job ' || event_id, ts) AS job_name FROM events WHERE event_type = 'view' GROUP BY 1),
-h AS (SELECT CASE WHEN event_id % 2 = 0 THEN CAST(event_id // 4 AS VARCHAR) END AS run_id, ts AS end_time, event_id FROM events WHERE event_type = 'purchase' AND event_id % 3 = 0 AND day(ts) BETWEEN 5 AND 25),
+h AS (SELECT CASE WHEN event_id % 2 = 0 THEN CAST(event_id // 4 AS VARCHAR) END AS run_id, ts AS end_time, event_id FROM events WHERE event_type = 'purchase'),
 w AS (SELECT min(end_time) AS o, max(end_time) AS n FROM h), said AS (SELECT run_id, count(*) AS statements, CAST(sum(event_id) AS BIGINT) AS read_rows FROM h WHERE run_id IS NOT NULL GROUP BY 1)
 SELECT r.run_id, r.job_id, j.job_name, r.job_run_id, r.task_key, CAST(row_number() OVER (PARTITION BY r.job_run_id, r.task_key ORDER BY r.started_at) AS INTEGER) AS attempt, r.result_state, r.timeline_periods,
   CASE WHEN s.statements IS NOT NULL THEN 'measured' WHEN w.n IS NULL OR r.ended_at > w.n THEN 'not_yet_attributed' WHEN r.ended_at < w.o THEN 'older_than_history' ELSE 'no_sql_attributed' END AS sql_telemetry, s.statements, s.read_rows
 FROM runs r CROSS JOIN w LEFT JOIN jobs j ON j.job_id = r.job_id LEFT JOIN said s ON s.run_id = r.run_id""",
-        "snapshot_diff_orders": """WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m') AS m, min(o_orderstatus) AS s FROM orders GROUP BY 1, 2), a AS (SELECT * FROM o WHERE m = '1997-01'), b AS (SELECT * FROM o WHERE m = '1997-02')
-SELECT coalesce(a.k, b.k) AS key, '1997-02' AS period, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.s <> b.s""",
-        "snapshot_diff_orders_months": """WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m') AS m, min(o_orderstatus) AS s FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1, 2),
+        "snapshot_diff_orders": """WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m') AS m, min(o_orderstatus) AS s FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1, 2),
 p AS (SELECT m, lead(m) OVER (ORDER BY m) AS t FROM (SELECT DISTINCT m FROM o)), a AS (SELECT o.k, p.t AS m, o.s FROM o JOIN p ON p.m = o.m WHERE p.t IS NOT NULL), b AS (SELECT * FROM o WHERE m > (SELECT min(m) FROM o))
 SELECT coalesce(a.k, b.k) AS key, coalesce(a.m, b.m) AS period, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k AND a.m = b.m WHERE a.k IS NULL OR b.k IS NULL OR coalesce(a.s, '') <> coalesce(b.s, '')""",
-        "watermark_misses": f"""WITH {REGISTRY}, r AS (SELECT *, row_number() OVER (PARTITION BY cnpj_basico, _snapshot_month ORDER BY _ingested_at DESC) AS n FROM accepted WHERE _snapshot_month IN ('2027-06', '2027-07')),
-v AS (SELECT cnpj_basico AS k, _snapshot_month AS m, concat_ws('|', {', '.join(f"coalesce({c}, '')" for c in _SAT)}) AS v FROM r WHERE n = 1), a AS (SELECT * FROM v WHERE m = '2027-06'), b AS (SELECT * FROM v WHERE m = '2027-07'),
-c AS (SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v)
-SELECT change_kind, count(*) AS missed FROM c WHERE k NOT IN (SELECT cnpj_basico FROM accepted WHERE _snapshot_month = '2027-07' AND epoch_us(_ingested_at) > 1815361200000000) GROUP BY 1""",
+        "watermark_misses": f"""WITH {REGISTRY}, r AS (SELECT *, row_number() OVER (PARTITION BY cnpj_basico, _snapshot_month ORDER BY _ingested_at DESC) AS n FROM accepted WHERE _snapshot_month IS NOT NULL),
+v AS (SELECT cnpj_basico AS k, _snapshot_month AS m, concat_ws('|', {', '.join(f"coalesce({c}, '')" for c in _SAT)}) AS v FROM r WHERE n = 1), p AS (SELECT m, lead(m) OVER (ORDER BY m) AS t FROM (SELECT DISTINCT m FROM v)),
+a AS (SELECT v.k, p.t AS m, v.v FROM v JOIN p ON p.m = v.m WHERE p.t IS NOT NULL), b AS (SELECT * FROM v WHERE m > (SELECT min(m) FROM v)),
+c AS (SELECT coalesce(a.k, b.k) AS k, coalesce(a.m, b.m) AS m, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM a FULL JOIN b ON a.k = b.k AND a.m = b.m WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v)
+SELECT m AS snapshot_month, change_kind, count(*) AS missed FROM c WHERE NOT EXISTS (SELECT 1 FROM accepted x WHERE x.cnpj_basico = c.k AND x._snapshot_month = c.m AND epoch_us(x._ingested_at) > epoch_us(CAST(c.m || '-12' AS TIMESTAMP))) GROUP BY 1, 2""",
         "full_keys": f"""WITH h AS (SELECT DISTINCT cnpj_basico, cnpj_basico || '0001' AS t FROM hub_empresa),
 f AS (SELECT *, ({_weighted('t', (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2))}) % 11 AS r FROM h), g AS (SELECT *, t || CASE WHEN r < 2 THEN 0 ELSE 11 - r END AS u FROM f), s AS (SELECT *, ({_weighted('u', (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2))}) % 11 AS q FROM g)
 SELECT cnpj_basico, u || CASE WHEN q < 2 THEN 0 ELSE 11 - q END AS cnpj FROM s""",

@@ -15,16 +15,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.identity import check_digits, company_key, company_text, message_id
 from tidemark.functions.keys import hash_key, zero_padded
-from tidemark.functions.times import DAY_US, event_micros, ref_date_of_file, token_month
+from tidemark.functions.times import DAY_US, event_micros, midnight, ref_date_of_file, token_month
 from tidemark.operators import dataops, gold, governance, quality, vault
-from tidemark.operators.asof import asof_join, intervals_from_changes
+from tidemark.operators.asof import Reach, asof_join, intervals_from_changes
 from tidemark.operators.promote import PromoteRefused, plan_promotion
 from tidemark.operators.redelivery import one_of_each
-from tidemark.operators.skew import hot_keys
 from tidemark.operators.snapshotdiff import missed_by_watermark, snapshot_changes
 from tidemark.operators.specs import Hub, KeyColumn, Link, LinkEnd, Prefix, Satellite
-from tidemark.plans.tables import table
-from tidemark.session import cut, shared_folder
+from tidemark.plans.tables import snapshot_months, table
+from tidemark.session import cut, passing_folder, written
 from tidemark.sources import generator
 from tidemark.sources.contracts import COLUMNS, LandedTable, rules_for
 from tidemark.store import new_rows
@@ -37,8 +36,6 @@ PAYER_PARTNER = Link("link_payer_partner", "link_payer_partner_hk", (LinkEnd("hu
 #: Day as of which freshness is stated, so that the result doesn't change with the calendar.
 TODAY = dt.date(2027, 9, 1)
 HOUR_MS = 3_600_000
-#: Instant after which a watermark extract would begin: 2027-07-12T03:00:00Z.
-SINCE_US = 1_815_361_200_000_000
 
 
 def _registry(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,15 +215,14 @@ def customer_asof(spark, folder):
     """Revenue of shipments by the customer's status as known when they shipped: deliveries reduced to one, interval join, sum."""
     lines = fact_dedup(spark, folder)
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("hk"))
+    cents = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).cast("long")
     micros = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
-    events = lines.join(orders, "l_orderkey").select("hk", "l_orderkey", "l_linenumber", micros.alias("at"), "l_extendedprice", "l_discount")
+    events = lines.join(orders, "l_orderkey").select("hk", "l_orderkey", "l_linenumber", micros.alias("at"), cents.alias("cents"))
+    events = written(events, "shipments")  # read for its reach and for the join
     changes = _customer_satellites(spark, folder)["status"].select("hk", F.unix_date("applied_date").cast("long").alias("day"), "status")
     versions = status_intervals(changes)
-    hot, span = hot_keys(orders, ["hk"])
-    edge = events.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
-    known = asof_join(events, versions, "hk", "at", first=edge["a"] or 0, last=edge["b"] or 0, days=128, hot=hot, salt_on=["l_orderkey", "l_linenumber"])
-    cents = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).cast("long")
-    return known.groupBy(F.coalesce("status", F.lit("(none yet)")).alias("status")).agg(F.count(F.lit(1)).alias("lines"), F.sum(cents).alias("revenue_cents"))
+    known = asof_join(events, versions, "hk", "at", reach=Reach(events, "hk", "at"), days=128, salt_on=["l_orderkey", "l_linenumber"])
+    return known.groupBy(F.coalesce("status", F.lit("(none yet)")).alias("status")).agg(F.count(F.lit(1)).alias("lines"), F.sum("cents").alias("revenue_cents"))
 
 
 def status_intervals(changes):
@@ -249,11 +245,15 @@ def fx_intervals(spark, folder):
     return gold.ptax_intervals(dq_ptax(spark, folder))
 
 
+def _cleaned(spark, folder):
+    """Payments with eight-digit company keys."""
+    key = lambda c: company_text(company_key(F.col(c)))
+    return table(spark, folder, "payments").withColumns({"payer_cnpj_basico": key("payer_cnpj_basico"), "payee_cnpj_basico": key("payee_cnpj_basico")})
+
+
 def _payable(spark, folder):
     """Messages that can be priced: identifier, readable instant and amount; company keys cleaned; no rejects by shape."""
-    key = lambda c: company_text(company_key(F.col(c)))
-    rows = table(spark, folder, "payments").withColumns({"payer_cnpj_basico": key("payer_cnpj_basico"), "payee_cnpj_basico": key("payee_cnpj_basico")})
-    return rows.filter(event_micros(F.col("event_time")).isNotNull() & F.col("amount").try_cast(gold.AMOUNT).isNotNull())
+    return _cleaned(spark, folder).filter(event_micros(F.col("event_time")).isNotNull() & F.col("amount").try_cast(gold.AMOUNT).isNotNull())
 
 
 def _priced(spark, folder):
@@ -275,12 +275,32 @@ def fx_coverage(spark, folder):
 
 def fact_payment_rows(spark, folder):
     """The payment fact: one row per message, both roles and the rate as of the event; hashed keys left out."""
-    priced = _priced(spark, folder).filter("fx_rate is null").select("id")
-    rows = _payable(spark, folder).join(priced, message_id(F.col("transaction_id")) == F.col("id"), "left_anti")
-    fact = gold.fact_rows(rows, table(spark, folder, "dim_company"), fx_intervals(spark, folder), F.lit(None).cast("timestamp"))
+    fact = gold.fact_rows(_cleaned(spark, folder), table(spark, folder, "dim_company"), fx_intervals(spark, folder), F.lit(None).cast("timestamp"), refuse=False)
     return fact.drop("channel_key", "currency_key", "load_date", "record_source", "event_time")
 
 
+def fact_refused(spark, folder):
+    """Messages that can't become fact rows, with the reason."""
+    return gold.refused_payments(gold.resolved_payments(_cleaned(spark, folder), table(spark, folder, "dim_company"), fx_intervals(spark, folder)))
+
+
+def fact_accounts(spark, folder):
+    """What the payments and the stored fact add up to: identities, business tuples, legitimate repeats, identities lacking."""
+    return gold.fact_accounts(table(spark, folder, "payments"), COLUMNS["payments"][3:], table(spark, folder, "fact_payment"))
+
+
+def fact_hashed_keys(spark, folder):
+    """Hashed keys of channels and currencies as facts and dimensions share them."""
+    rows = table(spark, folder, "payments")
+    members = [gold.enumerated_rows(rows, column, key).select(F.lit(column).alias("dimension"), F.col(column).alias("member"), F.col(key).alias("key")) for column, key in (("payment_method", "channel_key"), ("currency", "currency_key"))]
+    return members[0].unionByName(members[1])
+
+
+def pit_lost_keys(spark, folder):
+    """Keys of the supplied satellite that its hub lacks: a point-in-time table would have no rows for them."""
+    return gold.lost_keys(table(spark, folder, "hub_empresa"), "hub_empresa_hk", {"sat_empresa_dados": table(spark, folder, "sat_empresa_dados")})
+
+
 def role_unresolved(spark, folder):
     """Stored fact rows per role whose company has no version: key −1."""
     f = table(spark, folder, "fact_payment")
@@ -353,19 +373,11 @@ def task_telemetry(spark, folder):
         *(F.lit(i).cast("long").alias(f"{p}_duration_seconds") for i, p in enumerate(("setup", "execution", "cleanup"))),
     )
     jobs = e.filter("event_type = 'view'").select((F.col("user_id") % 15).alias("job_id"), F.concat(F.lit("job "), F.col("event_id").cast("string")).alias("name"), F.col("at").alias("change_time"))
-    window = e.filter("event_type = 'purchase' and event_id % 3 = 0 and day(at) between 5 and 25")
-    history = window.select(F.when(F.col("event_id") % 2 == 0, run.cast("string")).alias("run_id"), F.col("at").alias("end_time"), F.col("event_id").alias("read_rows"), F.lit(1).cast("long").alias("written_rows"), F.lit(2).cast("long").alias("written_bytes"))
+    history = e.filter("event_type = 'purchase'").select(F.when(F.col("event_id") % 2 == 0, run.cast("string")).alias("run_id"), F.col("at").alias("end_time"), F.col("event_id").alias("read_rows"), F.lit(1).cast("long").alias("written_rows"), F.lit(2).cast("long").alias("written_bytes"))
     return dataops.task_telemetry(timeline, jobs, history).select("run_id", "job_id", "job_name", "job_run_id", "task_key", "attempt", "result_state", "timeline_periods", "sql_telemetry", "statements", "read_rows")
 
 
 def snapshot_diff_orders(spark, folder):
-    """Customers of January and February 1997 as two snapshots: who came, went or changed status."""
-    o = table(spark, folder, "orders").withColumn("m", F.date_format("o_orderdate", "yyyy-MM")).filter("m in ('1997-01', '1997-02')")
-    rows = o.groupBy("o_custkey", "m").agg(F.min("o_orderstatus").alias("s"))
-    return snapshot_changes(rows, F.col("o_custkey"), F.col("m"), [F.coalesce("s", F.lit(""))], F.lit(0), ["1997-01", "1997-02"])
-
-
-def snapshot_diff_orders_months(spark, folder):
     """Customers of every month of orders as snapshots: who came, went or changed status from each month to the next delivered one."""
     o = table(spark, folder, "orders").withColumn("m", F.date_format("o_orderdate", "yyyy-MM"))
     months = [r["m"] for r in o.filter("m is not null").select("m").distinct().collect()]  # one row for each snapshot
@@ -374,13 +386,13 @@ def snapshot_diff_orders_months(spark, folder):
 
 
 def watermark_misses(spark, folder):
-    """Changes of July that an extract by time of ingest would miss, were it taken from the middle of the deliveries on, per kind."""
-    rows = _accepted(spark, folder).filter("_snapshot_month in ('2027-06', '2027-07')")
+    """Changes of every snapshot that an extract by time of ingest would miss, were it taken from the twelfth of the snapshot's month on, per kind."""
+    rows = _accepted(spark, folder)
     content = [F.coalesce(F.col(c), F.lit("")) for c in COMPANY_DATA.payload]
-    changes = snapshot_changes(rows, F.col("cnpj_basico"), F.col("_snapshot_month"), content, F.unix_micros("_ingested_at"), ["2027-06", "2027-07"])
-    july = rows.filter("_snapshot_month = '2027-07'")
-    missed = missed_by_watermark(changes, july, F.col("cnpj_basico"), F.unix_micros("_ingested_at"), F.lit(SINCE_US))
-    return missed.groupBy("change_kind").agg(F.count(F.lit(1)).alias("missed"))
+    changes = snapshot_changes(rows, F.col("cnpj_basico"), F.col("_snapshot_month"), content, F.unix_micros("_ingested_at"), snapshot_months(rows))
+    since = midnight(F.try_to_date(F.concat("_snapshot_month", F.lit("-12")), "yyyy-MM-dd"))
+    missed = missed_by_watermark(changes, rows, F.col("cnpj_basico"), F.unix_micros("_ingested_at"), since, F.col("_snapshot_month"))
+    return missed.groupBy(F.col("period").alias("snapshot_month"), "change_kind").agg(F.count(F.lit(1)).alias("missed"))
 
 
 def full_keys(spark, folder):
@@ -477,8 +489,8 @@ def generated_stream(spark, folder):
 
 QUERIES = (
     dq_classify, dq_tally, dq_overlap, dq_ptax, hash_keys, hub_company, hub_company_increment, link_payer_payee, link_payer_partner, sat_changed_rows, sat_incremental, observation_ledger, effectivity_windows, reference_pick,
-    scd2_company, xxhash_injective, dim_calendar, dim_channel, pit_customer, pit_rows_per_as_of, customer_asof, fact_dedup, fx_intervals, fx_resolution, fx_coverage, fact_payment_rows, role_unresolved, orphan_keys,
-    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, snapshot_diff_orders_months, watermark_misses, full_keys, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
+    scd2_company, xxhash_injective, dim_calendar, dim_channel, pit_customer, pit_rows_per_as_of, customer_asof, fact_dedup, fx_intervals, fx_resolution, fx_coverage, fact_payment_rows, fact_refused, fact_accounts, fact_hashed_keys, pit_lost_keys, role_unresolved, orphan_keys,
+    reconcile_batch, reconcile_file, promotion_plan, freshness_status, task_telemetry, snapshot_diff_orders, watermark_misses, full_keys, grant_plan, masked_projection, late_arrivals, window_crossing, redeliveries, null_drop_trap, undeclared_fields, pool_topk, ref_date_token, stream_ingest, generated_stream,
 )
 
 
