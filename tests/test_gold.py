@@ -141,3 +141,21 @@ def test_fact(spark):
         with pytest.raises(BuildRefused):
             gold.fact_rows(spark.createDataFrame([*data, bad], PAY), dim, i, F.lit(None).cast("timestamp"))
     assert gold.fact_rows(payments.limit(0), dim, i, F.lit(None).cast("timestamp")).count() == 0
+
+
+def test_satellite_keys_the_hub_lacks_are_refused(spark):
+    hub = spark.createDataFrame([("a",), ("a",)], "hk string")
+    good, bad = (spark.createDataFrame(k, "hk string, applied_date string") for k in ([("a", "x"), (None, "x")], [("a", "x"), ("b", "x"), ("b", "y")]))
+    gold.refuse_lost_keys(hub, "hk", {"s": good})
+    with pytest.raises(BuildRefused, match="'t': 1"):
+        gold.refuse_lost_keys(hub, "hk", {"s": good, "t": bad})
+
+
+def test_refused_payments_stay_out_where_they_are_not_an_error(spark):
+    dim, i = dimension(spark), gold.ptax_intervals(spark.createDataFrame(QUOTES, QUOTE))
+    data = [pay("0000000000000001", "soon"), pay("0000000000000001", "2026-06-12T23:59:59.999Z"), pay("0000000000000002", "2026-05-03T00:00:00.000Z", currency="USD"), pay("0000000000000003", "soon")]
+    payments = spark.createDataFrame(data, PAY)
+    kept = gold.fact_rows(payments, dim, i, F.lit(None).cast("timestamp"), refuse=False)
+    assert [r.transaction_id[-1] for r in kept.collect()] == ["1"]
+    refused = {r.transaction_id[-1]: r.refusal for r in gold.refused_payments(gold.resolved_payments(payments, dim, i)).collect()}
+    assert refused == {"2": gold.NO_RATE, "3": gold.UNREADABLE}

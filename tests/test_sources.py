@@ -244,7 +244,7 @@ def test_archives(tmp_path):
 def test_downloads_resume_and_must_be_whole(tmp_path):
     content, log = b"0123456789", []
 
-    def server(plan):
+    def server(plan, shift=0):
         steps = iter(plan)
 
         def send(method, url, headers):
@@ -261,13 +261,16 @@ def test_downloads_resume_and_must_be_whole(tmp_path):
                 if step[1]:
                     raise OSError("broken")
 
-            return Response(206 if start else 200, {}, body())
+            return Response(206 if start else 200, {"content-range": f"bytes {start - shift}-9/10"} if start else {}, body())
 
         return WebDav("http://x", send, pause=lambda s: None)
 
     assert server([503, (4, True), (3, True), (9, False)]).download("f", tmp_path / "f", 10).read_bytes() == content
     assert log == [None, None, "bytes=4-", "bytes=7-"]
     assert server([(4, True), "whole", "whole"]).download("f", tmp_path / "g", 10).read_bytes() == content
+    with pytest.raises(ExtractionRefused):  # a partial answer that begins elsewhere must not be appended
+        server([(4, True), (6, False)], shift=1).download("f", tmp_path / "i", 10)
+    assert (tmp_path / "i.part").read_bytes() == content[:4]
     for plan in ([404], [500] * 5, [(2, False), (0, False)] + [(0, False)] * 20):
         with pytest.raises(ExtractionRefused):
             server(plan).download("f", tmp_path / "h", 10)
@@ -325,3 +328,33 @@ def test_database_snapshot():
             extraction.consistent_snapshot(bad, "s.t", ["id", "name"], "id", "updated_at")
         assert bad.said[-1] == "COMMIT"
     assert extraction.changed_since(Connection([], 0), "s.t", "id", "updated_at", "x") == ["1", "2"]
+
+
+def test_files_already_landed_are_left_out(spark, monkeypatch):
+    batch = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "_source_file string, v int")
+    staged = spark.createDataFrame([("a",)] * 50 + [("z",)], "_source_file string")
+    for sent in (ingest.SENT_FILES, 0):
+        monkeypatch.setattr(ingest, "SENT_FILES", sent)
+        assert rows(ingest.unlanded(batch, staged).select("_source_file", "v")) == [(None, 4), ("b", 3)]
+    assert ingest.unlanded(batch, staged.filter("_source_file = 'z'")).count() == 4 and ingest.unlanded(batch, staged.limit(0)).count() == 4
+
+
+def test_snapshot_records_are_stamped():
+    taken = extraction.Snapshot("2026-08-01T00:00:00.000000Z", [("1", "a")], "w", "10:20:", "0/16B3748")
+    assert taken.records(["id", "name"]) == [{"id": "1", "name": "a", "_snapshot_at": taken.taken_at, "pg_snapshot": "10:20:", "wal_lsn": "0/16B3748"}]
+
+
+def test_command_line_and_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.__main__ import parser
+    from tidemark.session import NoSharedFolder, shared_folder
+
+    a = parser().parse_args(["vault", "--job", "vault_empresa", "--load-date", "2026-08-01T00:00:00Z", "--months", "2026-06"])
+    assert (a.kind, a.job, a.months) == ("vault", "vault_empresa", "2026-06")
+    with pytest.raises(SystemExit):
+        parser().parse_args(["gold"])
+    monkeypatch.delenv("TIDEMARK_SHARED", raising=False)
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(NoSharedFolder):
+        shared_folder(cluster)

@@ -134,3 +134,15 @@ def test_specs_that_contradict_themselves_are_refused(build):
 
 def test_loaders_leave_a_table_once_per_load(spark):
     assert store.rows_in(spark, "v_hub") == 3
+
+
+def test_a_load_names_its_snapshots_and_says_what_became_of_them(spark):
+    said = spark.createDataFrame([("00000001", "a", "2026-06", "2026-06-10"), ("00000001", "a", "2026-07", "2026-07-10"), ("00000002", "b", "2026-07", "2026-07-10")], "k string, v string, m string, d string")
+    source = said.select(F.col("k").alias("cnpj_basico"), *(F.col("v").alias(c) for c in SAT.payload), F.col("m").alias("_snapshot_month"), F.col("d").cast("date").alias("_snapshot_ref_date"), F.lit("s").alias("_record_source"))
+    for months in (["2026-06", "2026-08"], []):
+        with pytest.raises(vault.LoadRefused):
+            vault.load_satellite(source, SAT, HUB, "v_sat_months", at(), months=months)
+    first = vault.load_satellite(source, SAT, HUB, "v_sat_months", at(), months=["2026-07"], diagnostics=True)
+    assert first.appended == 2 and first.notes == {"candidates": 2, "held": 0, "unchanged": 0, "behind": 0, "keys": 2}
+    second = vault.load_satellite(source, SAT, HUB, "v_sat_months", at(), diagnostics=True)
+    assert second.appended == 1 and second.notes == {"candidates": 3, "held": 2, "unchanged": 0, "behind": 1, "keys": 2}

@@ -33,7 +33,7 @@ def scan(rows: DataFrame, month: str) -> Scan:
     path_month = F.regexp_extract("_source_file", r"/(\d{4}-\d{2})/", 1)
     held = F.col("_snapshot_month") if "_snapshot_month" in rows.columns else F.lit(None).cast("string")
     r = rows.agg(
-        F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("_source_file").alias("files"), F.count(F.when(asserted.isNull(), 1)).alias("nameless"),
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_source_file").alias("files"), F.count(F.when(asserted.isNull(), 1)).alias("nameless"),
         F.count(F.when(~F.endswith(F.lit(month), asserted) | (held != month), 1)).alias("other"), F.count(F.when((path_month != "") & (path_month != month), 1)).alias("source"),
         F.collect_set(F.when(path_month != "", path_month)).alias("months"),
     ).first()
@@ -54,11 +54,13 @@ def backfill(rows: DataFrame, table: str, month: str, quarantine: str | None = N
     if quarantine and rows_in(spark, quarantine):
         raise WriteRefused(f"{quarantine} is not empty")
     filled = rows.withColumns({"_snapshot_month": F.lit(month), "_snapshot_ref_date": ref_date_of_file(F.col("_source_file"), month)})
-    n = swap(filled, table)
-    after = spark.table(table).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_snapshot_month").isNull(), 1)).alias("empty")).first()
-    if n != found.rows or after["n"] != n or after["empty"]:
-        raise WriteRefused(f"{table}: {after['n']} rows after, {found.rows} before, {after['empty']} without a month")
-    return n
+
+    def verify(safe: DataFrame) -> None:
+        after = safe.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_snapshot_month").isNull(), 1)).alias("empty")).first()
+        if after["n"] != found.rows or after["empty"]:
+            raise WriteRefused(f"{table}: {after['n']} rows to write, {found.rows} before, {after['empty']} without a month")
+
+    return swap(filled, table, verify)
 
 
 def fingerprint(rows: DataFrame) -> DataFrame:

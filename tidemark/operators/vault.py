@@ -221,13 +221,50 @@ def load_partner_link(source: DataFrame, link: Link, hub: Hub, hub_table: str, t
     return _done(source.sparkSession, table, append_new(rows, table, [link.hash_key]), collapsed=grain.count() - grain.distinct().count())
 
 
-def load_satellite(source: DataFrame, satellite: Satellite, hub: Hub, table: str, load_date: Column) -> Loaded:
-    """Appends changes of a hub's attributes against what the satellite holds."""
+def refuse_absent_snapshots(source: DataFrame, months: Sequence[str] | None, axis: str = "_snapshot_month") -> None:
+    """Refuses a window of snapshots of which the source holds no row: such a load would do nothing and not say so."""
+    if months is not None:
+        held = {r[0] for r in source.filter(F.col(axis).isin(list(months))).select(axis).distinct().collect()}  # at most the months asked for
+        missing = sorted(set(months) - held)
+        if missing or not months:
+            raise LoadRefused(f"snapshots not in the source: {missing or 'none asked for'}")
+
+
+def satellite_diagnostics(candidates: DataFrame, existing: DataFrame | None, hub_key: str) -> dict[str, int]:
+    """What becomes of the candidates of a load, in one pass over the merged order.
+
+    candidates; keys; held: stated for a date the satellite has; unchanged: the same as before; behind: dated before
+    rows of the key that the satellite holds.
+    """
+    own = candidates.select(hub_key, "applied_date", "hash_diff", F.lit(True).alias("__new"))
+    both = own if existing is None else own.unionByName(existing.select(hub_key, "applied_date", "hash_diff").withColumn("__new", F.lit(False)))
+    dated = both.groupBy(hub_key, "applied_date").agg(F.max("__new").alias("new"), F.max(~F.col("__new")).alias("old"), F.coalesce(F.max(F.when(~F.col("__new"), F.col("hash_diff"))), F.max("hash_diff")).alias("state"))
+    order = Window.partitionBy(hub_key).orderBy("applied_date")
+    marked = dated.withColumns({"__before": F.lag("state").over(order), "__newest": F.max(F.when(F.col("old"), F.col("applied_date"))).over(Window.partitionBy(hub_key))})
+    fresh = F.col("new") & ~F.col("old")
+    counts = {
+        "candidates": F.col("new"), "held": F.col("new") & F.col("old"), "unchanged": fresh & (F.col("__before") == F.col("state")), "behind": fresh & (F.col("applied_date") < F.col("__newest")),
+    }
+    r = marked.agg(*(F.count(F.when(c, 1)).alias(n) for n, c in counts.items()), F.count_distinct(F.when(F.col("new"), F.col(hub_key))).alias("keys")).first()
+    return r.asDict()
+
+
+def load_satellite(source: DataFrame, satellite: Satellite, hub: Hub, table: str, load_date: Column, months: Sequence[str] | None = None, axis: str = "_snapshot_month", diagnostics: bool = False) -> Loaded:
+    """Appends changes of a hub's attributes against what the satellite holds.
+
+    `months`: the snapshots to load, each of which the source must hold; none is all. With `diagnostics` the notes say
+    what became of the candidates, see `satellite_diagnostics`.
+    """
     spark = source.sparkSession
+    refuse_absent_snapshots(source, months, axis)
+    if months is not None:
+        source = source.filter(F.col(axis).isin(list(months)))
     existing = spark.table(table) if table_exists(spark, table) else None
-    rows = changed_rows(satellite_candidates(source, satellite, hub), existing, hub.hash_key)
+    candidates = satellite_candidates(source, satellite, hub)
+    notes = satellite_diagnostics(candidates, existing, hub.hash_key) if diagnostics else {}
+    rows = changed_rows(candidates, existing, hub.hash_key)
     rows = rows.select(hub.hash_key, load_date.alias("load_date"), "applied_date", "record_source", "hash_diff", *satellite.payload)
-    return _done(spark, table, append(rows, table))
+    return _done(spark, table, append(rows, table), **notes)
 
 
 def load_effectivity(bronze: DataFrame, quarantine: DataFrame, spec: Effectivity, link: Link, hubs: dict[str, Hub], grain: Sequence[str], table: str, load_date: Column, window: Sequence[str] | None = None, axis: str = "_snapshot_month") -> Loaded:

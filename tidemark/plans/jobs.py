@@ -6,15 +6,17 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import day_of
 from tidemark.operators import dataops, gold, vault
-from tidemark.operators.governance import assert_revision
+from tidemark.operators.governance import assert_predicate, assert_revision, grant_plan
 from tidemark.operators.promote import PromoteRefused, gate, promote_batch
+from tidemark.operators.quality import overlap
 from tidemark.operators.specs import MODEL, Effectivity, Hub, Link, Reference, Satellite
 from tidemark.sources.contracts import MONTH, TABLES, LandedTable, rules_for, table_spec
+from tidemark.sources.readers import snapshot_window
 from tidemark.streaming.ingest import ingest
 
 
@@ -142,13 +144,13 @@ VAULT_JOBS: Mapping[str, tuple[tuple[str, str, tuple[str, ...]], ...]] = {
 def _load(spark: SparkSession, name: str, source: str, load_date: str, months: list[str] | None):
     spec, t = MODEL[name], TABLES[source]
     axis = t.axis.column
-    pick = lambda table: (spark.table(table).filter(F.col(axis).isin(months)) if months else spark.table(table))
-    rows, at = pick(t.bronze), F.lit(load_date).cast("timestamp")
+    rows, at = snapshot_window(spark, t.bronze, months, axis, t.axis.shape), F.lit(load_date).cast("timestamp")
+    vault.refuse_absent_snapshots(rows, months, axis)
     hubs = {e.hub: MODEL[e.hub] for e in getattr(spec, "ends", ())}
     if isinstance(spec, Hub):
         return vault.load_hub(rows, spec, name, at, axis)
     if isinstance(spec, Satellite):
-        return vault.load_satellite(rows, spec, MODEL[spec.parent], name, at)
+        return vault.load_satellite(rows, spec, MODEL[spec.parent], name, at, diagnostics=True)
     if isinstance(spec, Reference):
         return vault.load_reference(rows, spec, name, at)
     if isinstance(spec, Effectivity):
@@ -187,6 +189,7 @@ def gold_job(spark: SparkSession, job: str, *, load_date: str, revision: tuple[s
 
     def point_in_time():
         satellites = {n: t(n) for n in ("sat_estabelecimento_dados", "sat_estabelecimento_endereco")}
+        gold.refuse_lost_keys(t("hub_estabelecimento"), "hub_estabelecimento_hk", satellites)
         return gold.load_pit(gold.pit_rows(t("hub_estabelecimento"), "hub_estabelecimento_hk", satellites), "pit_estabelecimento", "hub_estabelecimento_hk")
 
     builds: dict[str, list[Task]] = {
@@ -200,8 +203,29 @@ def gold_job(spark: SparkSession, job: str, *, load_date: str, revision: tuple[s
     return Job(job, [guard(*revision), *builds[job]])
 
 
-def dataops_job(spark: SparkSession, today=None) -> Job:
-    """Reconciliation and freshness views over whatever sources are landed."""
+def rule_overlaps(spark: SparkSession, batches: Sequence[str] | None = None) -> DataFrame | None:
+    """Hits of every rule of every landed source, by batch: (source, _batch_id, rows, reason, hits). None if nothing is landed.
+
+    All rules of a source are counted in one pass over its staged rows; `batches` keeps to some of them.
+    """
+    all_ = None
+    for t in TABLES.values():
+        if not spark.catalog.tableExists(t.staging):
+            continue
+        rows = spark.table(t.staging)
+        wide = overlap(rows.filter(F.col("_batch_id").isin(list(batches))) if batches else rows, rules_for(t.name), by=["_batch_id"])
+        reasons = [c for c in wide.columns if c not in ("_batch_id", "rows")]
+        own = wide.select(F.lit(t.name).alias("source"), "_batch_id", "rows", F.inline(F.array(*(F.struct(F.lit(c).alias("reason"), F.col(c).alias("hits")) for c in reasons))))
+        all_ = own if all_ is None else all_.unionByName(own)
+    return all_
+
+
+def dataops_job(spark: SparkSession, today=None, telemetry: tuple[DataFrame, DataFrame, DataFrame] | None = None, masks: Mapping[str, tuple[str, str]] | None = None, grants: tuple[DataFrame, DataFrame] | None = None) -> Job:
+    """guard → {views, rule overlap, masks → governance} over whatever sources are landed.
+
+    `telemetry`: timeline, jobs and statement history of the platform; `masks`: the deployed and the declared body of
+    each mask function, which must agree; `grants`: observed rights and the roster, of which the plan is kept as a view.
+    """
 
     def views():
         landed = [t for t in TABLES.values() if spark.catalog.tableExists(t.bronze)]
@@ -215,6 +239,20 @@ def dataops_job(spark: SparkSession, today=None) -> Job:
                 one = dataops.measured(spark.table(t.bronze), t.name)
                 measures = one if measures is None else measures.unionByName(one)
             made["freshness"] = dataops.freshness(measures, dataops.CADENCES, today)
+        if telemetry:
+            made["task_telemetry"] = dataops.task_telemetry(*telemetry)
         return dataops.create_views(spark, made)
 
-    return Job("dataops", [guard(None, None), Task("views", views, ("guard",))])
+    def overlaps():
+        found = rule_overlaps(spark)
+        return dataops.create_views(spark, {"rule_overlap": found} if found is not None else {})
+
+    def assert_masks():
+        for deployed, declared in (masks or {}).values():
+            assert_predicate(deployed, declared)
+        return sorted(masks or {})
+
+    def governance():
+        return dataops.create_views(spark, {"grant_plan": grant_plan(*grants)} if grants else {})
+
+    return Job("dataops", [guard(None, None), Task("views", views, ("guard",)), Task("rule_overlap", overlaps, ("guard",)), Task("masks", assert_masks, ("guard",)), Task("governance", governance, ("masks",))])

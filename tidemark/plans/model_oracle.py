@@ -25,6 +25,10 @@ def _hash(*components: str) -> str:
     return f"sha256(concat_ws('||', {', '.join(_enc(c) for c in components)}))"
 
 
+def _json_field(c: str) -> str:
+    return f"""CASE WHEN {c} IS NOT NULL THEN '"{c}":' || CAST(to_json({c}) AS VARCHAR) END"""
+
+
 def _blank(c: str) -> str:
     return f"({c} IS NULL OR trim({c}, ' ') = '')"
 
@@ -211,7 +215,8 @@ SELECT coalesce(o.principal, r.principal) AS principal, coalesce(o.object, r.obj
         "redeliveries": f"WITH p AS (SELECT {_id('transaction_id')} AS id FROM payments) SELECT count(*) AS rows, count(DISTINCT id) AS identities, count(*) - count(DISTINCT id) AS duplicates FROM p WHERE id IS NOT NULL",
         "null_drop_trap": "WITH d AS (SELECT DISTINCT payer_cnpj_basico AS a, payee_cnpj_basico AS b, payment_method AS c FROM payments) SELECT count(*) AS tuples, count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL) AS complete_tuples, count(*) FILTER (WHERE a IS NULL OR b IS NULL OR c IS NULL) AS dropped_tuples FROM d",
         "undeclared_fields": "SELECT key, count(*) AS rows FROM (SELECT unnest(json_keys(_rescued_data)) AS key FROM payments WHERE _rescued_data IS NOT NULL) WHERE key <> 'transaction_id' GROUP BY 1",
-        "stream_ingest": f"SELECT {', '.join(PAYMENTS)}, NULL AS _rescued_data FROM payments",
+        "stream_ingest": f"""WITH l AS (SELECT *, '{{' || concat_ws(',', {', '.join(_json_field(c) for c in PAYMENTS)}, CASE WHEN _rescued_data IS NOT NULL THEN '"surplus":"x"' END) || '}}' AS line, coalesce(payment_method = 'TED' AND currency = 'BRL', false) AS broken FROM payments)
+SELECT {', '.join(f"CASE WHEN NOT broken THEN {c} END AS {c}" for c in PAYMENTS)}, CASE WHEN broken THEN left(line, -1) WHEN _rescued_data IS NOT NULL THEN line END AS _rescued_data FROM l""",
         "generated_stream": "SELECT * FROM (VALUES ('rows', CAST(4210 AS BIGINT)), ('identities', 4000), ('business_tuples', 3700), ('late_identities', 60)) v(measure, n)",
         "pool_topk": "SELECT cnpj_basico FROM (SELECT DISTINCT cnpj_basico FROM hub_empresa) ORDER BY sha256(cnpj_basico || '|20260809') LIMIT 100",
         "ref_date_token": r"""WITH f AS (SELECT DISTINCT _source_file, _snapshot_month, regexp_extract(_source_file, '[^/]*$') AS n FROM empresas), t AS (SELECT *, regexp_extract(n, '\.D(\d\d)(\d\d)(\d\d)', 1) AS y, regexp_extract(n, '\.D(\d\d)(\d\d)(\d\d)', 2) AS mo, regexp_extract(n, '\.D(\d\d)(\d\d)(\d\d)', 3) AS dd FROM f)

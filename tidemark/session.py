@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +32,21 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
         builder = builder.master(master)
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to all executors, whose Python workers may not have it installed."""
+    here = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="tidemark-package-"))  # read by the driver alone, which serves it to the executors
+    archive = folder / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 class NoSharedFolder(RuntimeError):

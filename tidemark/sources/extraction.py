@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import time
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterable, Sequence
@@ -36,6 +37,16 @@ class Response:
     body: Iterable[bytes]
 
 
+def content_range(response: Response) -> str:
+    return next((v for k, v in response.headers.items() if k.lower() == "content-range"), "")
+
+
+def starts_at(response: Response) -> int | None:
+    """First byte that a partial answer says it holds; none if it doesn't say."""
+    found = re.fullmatch(r"bytes (\d+)-\d+/(?:\d+|\*)", content_range(response).strip())
+    return int(found[1]) if found else None
+
+
 class WebDav:
     """Lists and downloads; `send(method, url, headers)` returns a Response and may raise OSError, in its body too."""
 
@@ -89,6 +100,8 @@ class WebDav:
                 continue
             if response.status not in (200, 206):
                 raise ExtractionRefused(f"{path}: status {response.status}")
+            if response.status == 206 and starts_at(response) != have:
+                raise ExtractionRefused(f"{path}: asked for bytes from {have}, the answer is {content_range(response)!r}")
             try:
                 with part.open("ab") as f:
                     for block in response.body:
@@ -173,6 +186,13 @@ class Snapshot:
     taken_at: str
     rows: list[tuple]
     watermark: str | None
+    transaction: str | None = None
+    log_position: str | None = None
+
+    def records(self, columns: Sequence[str], stamped: Sequence[str] = ("_snapshot_at", "pg_snapshot", "wal_lsn")) -> list[dict]:
+        """Rows under the contract's names, each stamped with the instant, the transaction snapshot and the log position."""
+        stamp = dict(zip(stamped, (self.taken_at, self.transaction, self.log_position), strict=True))
+        return [dict(zip(columns, row, strict=True)) | stamp for row in self.rows]
 
 
 def consistent_snapshot(connection, table: str, columns: Sequence[str], key: str, watermark: str) -> Snapshot:
@@ -195,7 +215,8 @@ def consistent_snapshot(connection, table: str, columns: Sequence[str], key: str
         if n != len(rows):
             raise ExtractionRefused(f"{len(rows)} of {n} rows")
         newest = run(f"SELECT max({watermark})::text FROM {table}").fetchone()[0]
-        return Snapshot(taken, rows, newest)
+        transaction, position = run("SELECT pg_current_snapshot()::text, pg_current_wal_lsn()::text").fetchone()
+        return Snapshot(taken, rows, newest, transaction, position)
     finally:
         run("COMMIT")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -69,16 +69,19 @@ def append_new(candidates: DataFrame, name: str, keys: Sequence[str], null_safe:
     return append(new_rows(candidates, held, keys, null_safe), name)
 
 
-def swap(rows: DataFrame, name: str) -> int:
-    """Replaces a table by rows that may come from it: they are written down first, then take its place.
+def swap(rows: DataFrame, name: str, verify: Callable[[DataFrame], None] | None = None) -> int:
+    """Replaces a table by rows that may come from it: they are written down and verified first, then take its place.
 
-    Zero rows are refused: an empty result is more likely a mistake than a wish.
+    Zero rows are refused: an empty result is more likely a mistake than a wish. `verify` raises if the rows written
+    down aren't what the table may become; the table is untouched then.
     """
     spark = rows.sparkSession
     safe = cut(rows)
     n = safe.count()
     if not n:
         raise WriteRefused(f"refusing to replace {name} by no rows")
+    if verify:
+        verify(safe)
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition] if table_exists(spark, name) else []
     writer = safe.write.mode("overwrite").format("parquet")
     (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)

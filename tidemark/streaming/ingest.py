@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.skew import hot_keys, salted_join
+from tidemark.session import cut
 from tidemark.sources.contracts import MONTH, LandedTable, struct_of
 from tidemark.sources.readers import audited, audited_file, audited_instant, lookup_type, parse_json_lines, read_options
-from tidemark.store import append, new_rows, table_exists
+from tidemark.store import append, table_exists
 
 
 class IngestRefused(ValueError):
@@ -23,10 +25,6 @@ def checkpoint_location(root: str, month: str, table: LandedTable) -> str:
     return f"{root}/_checkpoints/{month}/{table.name}"
 
 
-def schema_location(root: str, month: str, table: LandedTable) -> str:
-    return f"{root}/_schemas/{month}/{table.name}"
-
-
 def require_month(month: str) -> str:
     if not isinstance(month, str) or not re.fullmatch(MONTH, month):
         raise IngestRefused(f"not a month: {month!r}")
@@ -60,6 +58,29 @@ def file_stream(spark: SparkSession, table: LandedTable, source: str) -> DataFra
     return rows.withColumn("lookup_type", lookup_type(F.col("_source_file"))) if table.name == "lookup" else rows
 
 
+#: A micro-batch of up to this many files is compared with the staged files by sending its list of names to every task.
+SENT_FILES = 10_000
+
+
+def unlanded(batch: DataFrame, staged: DataFrame) -> DataFrame:
+    """Rows of files that the staging table doesn't hold yet.
+
+    A file is one value of `_source_file` and may have very many rows on both sides, so rows are never joined by it: the
+    batch's distinct names are looked up among the distinct staged ones, and only names already landed, mostly none, are
+    taken out of the batch. Their number is checked before they are sent to every task; beyond SENT_FILES they are
+    spread by a hash of the row. Rows without a name are kept.
+    """
+    names = batch.select("_source_file").filter(F.col("_source_file").isNotNull()).distinct()
+    landed = cut(names.join(staged.select(F.col("_source_file").alias("__held")).distinct(), F.col("_source_file") == F.col("__held"), "left_semi"))
+    n = landed.limit(SENT_FILES + 1).count()
+    if not n:
+        return batch
+    if n <= SENT_FILES:
+        return batch.join(F.broadcast(landed.withColumnRenamed("_source_file", "__landed")), F.col("_source_file") == F.col("__landed"), "left_anti")
+    hot, _ = hot_keys(batch, ["_source_file"])
+    return salted_join(batch, landed, ["_source_file"], "left_anti", hot=hot, salt_on=batch.columns)
+
+
 def ingest(spark: SparkSession, table: LandedTable, *, root: str, month: str, batch_id: str, record_source: str, source: str | None = None) -> StreamingQuery:
     """Appends all files not yet ingested to the staging table and stops. Run again, it appends none."""
     require_batch_id(batch_id)
@@ -78,8 +99,9 @@ def ingest(spark: SparkSession, table: LandedTable, *, root: str, month: str, ba
         # a file is the unit of delivery: one whose rows are there already, from a run that ended before its
         # checkpoint was written, is left out, so every file lands exactly once
         own = batch.sparkSession
-        held = own.table(table.staging).filter(F.col("_snapshot_month") == month).select("_source_file") if table_exists(own, table.staging) else None
-        append(new_rows(batch, held, ["_source_file"]), table.staging, ["_snapshot_month"])
+        if table_exists(own, table.staging):
+            batch = unlanded(batch, own.table(table.staging).filter(F.col("_snapshot_month") == month))
+        append(batch, table.staging, ["_snapshot_month"])
 
     query = rows.writeStream.option("checkpointLocation", checkpoint_location(root, month, table)).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
