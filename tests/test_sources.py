@@ -341,7 +341,7 @@ def test_files_already_landed_are_left_out(spark, monkeypatch):
 
 def test_snapshot_records_are_stamped():
     taken = extraction.Snapshot("2026-08-01T00:00:00.000000Z", [("1", "a")], "w", "10:20:", "0/16B3748")
-    assert taken.records(["id", "name"]) == [{"id": "1", "name": "a", "_snapshot_at": taken.taken_at, "pg_snapshot": "10:20:", "wal_lsn": "0/16B3748"}]
+    assert taken.records(["id", "name"]) == [{"id": "1", "name": "a", "_snapshot_at": taken.taken_at, "_pg_snapshot": "10:20:", "_pg_wal_lsn": "0/16B3748"}]
 
 
 def test_command_line_and_shared_folder(monkeypatch):

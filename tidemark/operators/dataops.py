@@ -160,6 +160,35 @@ def task_telemetry(timeline: DataFrame, jobs: DataFrame, history: DataFrame) ->
     return joined.withColumns({"attempt": attempt, "sql_telemetry": label}).drop("__oldest", "__newest")
 
 
+#: Task runs that the report of the latest shows.
+LATEST_RUNS = 200
+
+
+def latest_runs(telemetry: DataFrame, n: int = LATEST_RUNS) -> DataFrame:
+    """The `n` task runs that ended last; ties by run and task."""
+    return telemetry.orderBy(F.desc("ended_at"), "run_id", "task_key", "job_run_id", "job_id").limit(n)
+
+
+def sql_coverage(telemetry: DataFrame) -> DataFrame:
+    """Per task: its runs, those whose statements are measured or not yet attributed, those that failed, the last end."""
+    count = lambda c: F.count(F.when(c, 1))
+    label, state = F.col("sql_telemetry"), F.col("result_state")
+    return telemetry.groupBy("task_key").agg(F.count(F.lit(1)).alias("runs"), count(label == MEASURED).alias("measured"), count(label == NOT_YET).alias("not_yet"), count(state == "FAILED").alias("failed"), F.max("ended_at").alias("last_ended_at"))
+
+
+def file_accounts_of_batch(spark: SparkSession, source: str, legs: dict[str, str], batch_id: str) -> DataFrame:
+    """Accounts by file of one batch, by SQL whose batch is a bound parameter; tables that don't exist are left out.
+
+    `legs`: the table of each role (staged, promoted, quarantined).
+    """
+    parts = [f"SELECT '{role}' AS role, _source_file, count(*) AS n FROM {name} WHERE _batch_id = :batch_id GROUP BY _source_file" for role, name in legs.items() if table_exists(spark, name)]
+    if not parts:
+        raise ValueError(f"no table of {source} exists")
+    sums = ", ".join(f"coalesce(sum(n) FILTER (WHERE role = '{role}'), 0) AS {role}" for role in ("staged", "promoted", "quarantined"))
+    return spark.sql(f"""SELECT :source AS source, _source_file, staged, promoted, quarantined, promoted > 0 AND promoted + quarantined = staged AS reclaimable
+FROM (SELECT _source_file, {sums} FROM ({" UNION ALL ".join(parts)}) GROUP BY _source_file)""", args={"batch_id": batch_id, "source": source})
+
+
 def create_views(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:
     """Registers views under `dataops_` names."""
     for name, rows in views.items():

@@ -102,6 +102,13 @@ def tally(classified: DataFrame) -> tuple[int, int]:
     return n.get(False, 0), n.get(True, 0)
 
 
+def overlap_by_rule(rows: DataFrame, rules: Sequence[Rule], source: str, by: str = "_batch_id") -> DataFrame:
+    """`overlap` as one row for each batch and reason: (source, batch, rows, reason, hits); all rules in one pass."""
+    wide = overlap(rows, rules, by=[by])
+    reasons = [c for c in wide.columns if c not in (by, "rows")]
+    return wide.select(F.lit(source).alias("source"), by, "rows", F.inline(F.array(*(F.struct(F.lit(c).alias("reason"), F.col(c).alias("hits")) for c in reasons))))
+
+
 def overlap(rows: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
     """Every rule, not just the first, in one pass: rows, hits per rule, rows with two or more, and with rescued data.
 

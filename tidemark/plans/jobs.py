@@ -13,7 +13,7 @@ from tidemark.functions.times import day_of
 from tidemark.operators import dataops, gold, vault
 from tidemark.operators.governance import assert_predicate, assert_revision, grant_plan
 from tidemark.operators.promote import PromoteRefused, gate, promote_batch
-from tidemark.operators.quality import overlap
+from tidemark.operators.quality import overlap_by_rule
 from tidemark.operators.specs import MODEL, Effectivity, Hub, Link, Reference, Satellite
 from tidemark.sources.contracts import MONTH, TABLES, LandedTable, rules_for, table_spec
 from tidemark.sources.readers import snapshot_window
@@ -213,9 +213,7 @@ def rule_overlaps(spark: SparkSession, batches: Sequence[str] | None = None) ->
         if not spark.catalog.tableExists(t.staging):
             continue
         rows = spark.table(t.staging)
-        wide = overlap(rows.filter(F.col("_batch_id").isin(list(batches))) if batches else rows, rules_for(t.name), by=["_batch_id"])
-        reasons = [c for c in wide.columns if c not in ("_batch_id", "rows")]
-        own = wide.select(F.lit(t.name).alias("source"), "_batch_id", "rows", F.inline(F.array(*(F.struct(F.lit(c).alias("reason"), F.col(c).alias("hits")) for c in reasons))))
+        own = overlap_by_rule(rows.filter(F.col("_batch_id").isin(list(batches))) if batches else rows, rules_for(t.name), t.name)
         all_ = own if all_ is None else all_.unionByName(own)
     return all_
 

@@ -222,3 +222,86 @@ SELECT {', '.join(f"CASE WHEN NOT broken THEN {c} END AS {c}" for c in PAYMENTS)
         "ref_date_token": r"""WITH f AS (SELECT DISTINCT _source_file, _snapshot_month, regexp_extract(_source_file, '[^/]*$') AS n FROM empresas), t AS (SELECT *, regexp_extract(n, '\.D(\d\d)(\d\d)(\d\d)', 1) AS y, regexp_extract(n, '\.D(\d\d)(\d\d)(\d\d)', 2) AS mo, regexp_extract(n, '\.D(\d\d)(\d\d)(\d\d)', 3) AS dd FROM f)
 SELECT _source_file, _snapshot_month, CASE WHEN y <> '' THEN y || '-' || mo END AS asserted, CASE WHEN y <> '' AND right(_snapshot_month, 5) = y || '-' || mo THEN try_cast(_snapshot_month || '-' || dd AS DATE) END AS ref_date FROM t""",
     }
+
+
+#: Inputs made of supplied tables, in SQL that Spark and DuckDB read alike: the table, and each column's expression.
+ENGINE_CASES = {
+    "merchant": ("customer", {
+        "merchant_id": "CASE WHEN c_custkey % 37 = 0 THEN ' ' ELSE concat('M', CAST(c_custkey AS STRING)) END",
+        "cnpj": "CASE c_custkey % 6 WHEN 0 THEN lpad(CAST(c_custkey AS STRING), 13, '0') WHEN 1 THEN concat(lpad(CAST(c_custkey AS STRING), 13, '0'), 'x') ELSE lpad(CAST(c_custkey AS STRING), 14, '0') END",
+        "legal_name": "CASE WHEN c_custkey % 11 = 0 THEN concat(c_name, 'ƛ') WHEN c_custkey % 41 = 0 THEN concat(c_name, '�') ELSE c_name END",
+        "trade_name": "CAST(NULL AS STRING)", "status": "CASE WHEN c_custkey % 13 = 0 THEN '' ELSE 'active' END", "mcc": "'5411'", "settlement_account": "'1-2'", "risk_tier": "'low'",
+        "credit_limit": "CASE WHEN c_custkey % 7 = 0 THEN 'much' ELSE '1000.50' END",
+        "onboarded_on": "CASE WHEN c_custkey % 17 = 0 THEN '2026-02-30' WHEN c_custkey % 19 = 0 THEN '20260101' ELSE '2026-01-31' END", "updated_at": "'2026-01-31'",
+        "_snapshot_at": "CASE WHEN c_custkey % 23 = 0 THEN '2026-08-01T00:00:00.00000Z' WHEN c_custkey % 29 = 0 THEN '2026-02-30T00:00:00.000000Z' ELSE '2026-08-01T00:00:00.000000Z' END",
+        "_pg_snapshot": "'10:20:'", "_pg_wal_lsn": "'0/1'", "_snapshot_ref_date": "CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE CAST('2026-08-01' AS DATE) END",
+    }),
+    "lookup": ("part", {
+        "codigo": "CAST(p_partkey % 50 AS STRING)", "descricao": "p_name", "_snapshot_month": "concat('2027-0', CAST(1 + p_partkey % 3 AS STRING))", "_record_source": "p_brand",
+        "_source_file": "concat('/landing/F.K', CAST(p_partkey % 9 AS STRING), '.', CASE p_partkey % 7 WHEN 0 THEN 'CNAECSV.CNAE' WHEN 1 THEN 'moti' WHEN 2 THEN 'MUNIC' WHEN 3 THEN 'D.NATJU' WHEN 4 THEN 'Pais' WHEN 5 THEN 'QUALS' ELSE 'EMPRE' END)",
+    }),
+    "instants": ("events", {
+        "event_id": "event_id",
+        "said": "CASE event_id % 5 WHEN 0 THEN concat('2026-0', CAST(1 + event_id % 9 AS STRING), '-30T01:02:03.000004Z') WHEN 1 THEN '2026-03-04' WHEN 2 THEN concat('2026-03-04T', lpad(CAST(event_id % 30 AS STRING), 2, '0'), ':00:00.000000Z') WHEN 3 THEN '2026-03-04T01:02:03Z' END",
+    }),
+}
+
+_ACCOUNTED = "SELECT _source_file, count(*) FILTER (WHERE side = 's') AS staged, count(*) FILTER (WHERE side = 'p') AS promoted, count(*) FILTER (WHERE side = 'q') AS quarantined"
+
+
+def _case_rows(name: str) -> str:
+    source, columns = ENGINE_CASES[name]
+    return f"SELECT {', '.join(f'{sql} AS {c}' for c, sql in columns.items())} FROM {source}"
+
+
+def _counted(source: str, rules: list[tuple[str, str]]) -> str:
+    hits = [f"CASE WHEN {p} THEN 1 ELSE 0 END" for _, p in rules]
+    both = [(r, h) for (r, _), h in zip(rules, hits, strict=True)]
+    both += [("rescued_rows", "CASE WHEN _rescued_data IS NOT NULL THEN 1 ELSE 0 END"), ("rows_with_two_or_more", f"CASE WHEN {' + '.join(hits)} >= 2 THEN 1 ELSE 0 END"), ("rescued_with_a_rule", f"CASE WHEN _rescued_data IS NOT NULL AND {' + '.join(hits)} >= 1 THEN 1 ELSE 0 END")]
+    return " UNION ALL ".join(f"SELECT '{source}' AS source, _batch_id, count(*) AS rows, '{reason}' AS reason, CAST(sum({h}) AS BIGINT) AS hits FROM {source} GROUP BY _batch_id" for reason, h in both)
+
+
+def engine_sql() -> dict[str, str]:
+    """SQL of `engine_queries`."""
+    from tidemark.sources.contracts import COLUMNS, LOOKUP_SUFFIXES
+
+    merchant = COLUMNS["merchant"]
+    reasons = [(f"null_or_empty_{c}", _blank(c)) for c in merchant if c != "trade_name"] + [
+        ("bad_cnpj_shape", "NOT regexp_full_match(cnpj, '[0-9]{14}')"),
+        ("bad_onboarded_on_shape", "NOT regexp_full_match(onboarded_on, '[0-9]{4}-[0-9]{2}-[0-9]{2}') OR try_cast(onboarded_on AS DATE) IS NULL"),
+        ("bad_snapshot_at_shape", "length(_snapshot_at) <> 27 OR try_cast(_snapshot_at AS TIMESTAMPTZ) IS NULL"),
+        ("unparseable_credit_limit", "try_cast(credit_limit AS DECIMAL(14, 2)) IS NULL"), ("encoding_replacement_char", _replaced(merchant)),
+        ("unhashable_case_divergence", "contains(legal_name, chr(411))"), ("unprovable_snapshot_ref_date", "_snapshot_ref_date IS NULL"),
+    ]
+    kind = "CASE " + " ".join(f"WHEN upper(_source_file) LIKE '%{suffix}' THEN '{name}'" for suffix, name in LOOKUP_SUFFIXES.items()) + " END"
+    telemetry = oracle_sql()["task_telemetry"].replace("SELECT r.run_id,", "SELECT r.ended_at, r.run_id,", 1)
+    legs = f"""SELECT 's' AS side, * FROM payments WHERE _batch_id = 'pay-20270109-0' UNION ALL SELECT 'p', * FROM payments WHERE _batch_id = 'pay-20270109-0' AND transaction_id IS NOT NULL AND _rescued_data IS NULL
+UNION ALL SELECT 'q', * FROM payments WHERE _batch_id = 'pay-20270109-0' AND transaction_id IS NULL"""
+    bad = " OR ".join(f"coalesce({p}, false)" for _, p in PAYMENT_RULES)
+    parties = f"SELECT epoch_us({_instant('event_time')}) AS at_, {_key('payer_cnpj_basico')} AS company FROM payments UNION ALL SELECT epoch_us({_instant('event_time')}), {_key('payee_cnpj_basico')} FROM payments"
+    return {
+        "dq_merchant": f"SELECT merchant_id, CASE {' '.join(f'WHEN {p} THEN {chr(39)}{r}{chr(39)}' for r, p in reasons)} END AS _dq_reject_reason FROM ({_case_rows('merchant')})",
+        "lookup_kinds": f"SELECT codigo, _source_file, {kind} AS kind FROM ({_case_rows('lookup')})",
+        "lookup_references": f"""SELECT codigo, descricao, record_source, 'ref_' || kind AS reference FROM (SELECT codigo, descricao, _record_source AS record_source, {kind} AS kind,
+  row_number() OVER (PARTITION BY {kind}, codigo ORDER BY _snapshot_month, _record_source, descricao) AS n FROM ({_case_rows('lookup')})) WHERE n = 1 AND kind IS NOT NULL""",
+        "ref_date_instant": f"SELECT event_id, said, CASE WHEN length(said) = 27 AND try_cast(said AS TIMESTAMPTZ) IS NOT NULL THEN try_cast(left(said, 10) AS DATE) END AS ref_date, try_cast(left(said, 10) AS DATE) AS day FROM ({_case_rows('instants')})",
+        "latest_task_runs": f"SELECT run_id, task_key, job_id, job_run_id, sql_telemetry, statements FROM ({telemetry}) ORDER BY ended_at DESC, run_id, task_key, job_run_id, job_id LIMIT 200",
+        "sql_coverage": f"SELECT task_key, count(*) AS runs, count(*) FILTER (WHERE sql_telemetry = 'measured') AS measured, count(*) FILTER (WHERE sql_telemetry = 'not_yet_attributed') AS not_yet, count(*) FILTER (WHERE result_state = 'FAILED') AS failed FROM ({telemetry}) GROUP BY 1",
+        "rule_overlap_sweep": f"{_counted('payments', PAYMENT_RULES)} UNION ALL {_counted('empresas', EMPRESA_RULES)}",
+        "gate_counts": f"SELECT _batch_id, count(*) FILTER (WHERE NOT bad) AS good, count(*) FILTER (WHERE bad) AS held_back FROM (SELECT _batch_id, _rescued_data IS NOT NULL OR {bad} AS bad FROM payments) GROUP BY 1",
+        "file_accounts_of_batch": f"SELECT 'payments' AS source, *, promoted > 0 AND promoted + quarantined = staged AS reclaimable FROM ({_ACCOUNTED} FROM ({legs}) GROUP BY 1)",
+        "fx_totals": f"""WITH {PRICED} SELECT count(*) FILTER (WHERE fx_rate IS NULL) AS unresolved, count(*) FILTER (WHERE us > (SELECT max(valid_from) FROM intervals)) AS beyond,
+  CAST(max(date_diff('day', fx_rate_date, CAST(make_timestamp(us) AS DATE))) AS INTEGER) AS widest FROM priced""",
+        "party_reach": f"SELECT company, count(*) AS events, min(at_) AS first_at, max(at_) AS last_at FROM ({parties}) WHERE company IS NOT NULL AND at_ IS NOT NULL GROUP BY 1",
+        "orphan_counts": """SELECT 'customers_without_orders' AS measure, count(*) AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT 'parts_without_lines', count(*) FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)
+UNION ALL SELECT 'fact_keys', count(*) FROM fact_payment WHERE payee_company_sk NOT IN (SELECT company_sk FROM dim_company)""",
+        "masked_suppliers": "SELECT * REPLACE (CASE WHEN s_name IS NOT NULL THEN '***' END AS s_name) FROM supplier",
+        "stream_digests": f"SELECT o_orderkey, {_hash(chr(39) + 'NAMESPACE' + chr(39), chr(39) + '11' + chr(39), chr(39) + 'TIDE-PLAIN/amount' + chr(39), 'CAST(o_orderkey AS VARCHAR)', chr(39) + '0' + chr(39))} AS digest FROM orders".replace("NAMESPACE", _namespace()),
+        "text_instants": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS said, epoch_us(ts) // 1000 * 1000 AS micros FROM events",
+    }
+
+
+def _namespace() -> str:
+    from tidemark.sources.generator import NAMESPACE
+
+    return NAMESPACE

@@ -362,7 +362,7 @@ def freshness_status(spark, folder):
     return dataops.freshness(all_, cadences, TODAY).select("source", "bronze_rows", "last_snapshot_month", "pipeline_age_days", "source_age_days", "source_freshness_status")
 
 
-def task_telemetry(spark, folder):
+def _telemetry(spark, folder):
     """Task runs and their statements, from events read as a timeline, a list of jobs and a statement history."""
     e = table(spark, folder, "events").withColumn("at", F.col("ts").cast("timestamp"))
     run = (F.col("event_id") / 4).cast("int")
@@ -373,7 +373,12 @@ def task_telemetry(spark, folder):
     )
     jobs = e.filter("event_type = 'view'").select((F.col("user_id") % 15).alias("job_id"), F.concat(F.lit("job "), F.col("event_id").cast("string")).alias("name"), F.col("at").alias("change_time"))
     history = e.filter("event_type = 'purchase'").select(F.when(F.col("event_id") % 2 == 0, run.cast("string")).alias("run_id"), F.col("at").alias("end_time"), F.col("event_id").alias("read_rows"), F.lit(1).cast("long").alias("written_rows"), F.lit(2).cast("long").alias("written_bytes"))
-    return dataops.task_telemetry(timeline, jobs, history).select("run_id", "job_id", "job_name", "job_run_id", "task_key", "attempt", "result_state", "timeline_periods", "sql_telemetry", "statements", "read_rows")
+    return dataops.task_telemetry(timeline, jobs, history)
+
+
+def task_telemetry(spark, folder):
+    """Task runs, their statements and how far these can be trusted."""
+    return _telemetry(spark, folder).select("run_id", "job_id", "job_name", "job_run_id", "task_key", "attempt", "result_state", "timeline_periods", "sql_telemetry", "statements", "read_rows")
 
 
 def snapshot_diff_orders(spark, folder):

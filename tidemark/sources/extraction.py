@@ -189,7 +189,7 @@ class Snapshot:
     transaction: str | None = None
     log_position: str | None = None
 
-    def records(self, columns: Sequence[str], stamped: Sequence[str] = ("_snapshot_at", "pg_snapshot", "wal_lsn")) -> list[dict]:
+    def records(self, columns: Sequence[str], stamped: Sequence[str] = ("_snapshot_at", "_pg_snapshot", "_pg_wal_lsn")) -> list[dict]:
         """Rows under the contract's names, each stamped with the instant, the transaction snapshot and the log position."""
         stamp = dict(zip(stamped, (self.taken_at, self.transaction, self.log_position), strict=True))
         return [dict(zip(columns, row, strict=True)) | stamp for row in self.rows]
