@@ -7,10 +7,10 @@ import pytest
 from conftest import DATA, same_rows
 
 import __spark_entry__ as entry
-from tidemark.plans import data_queries, model_queries
+from tidemark.plans import data_queries, engine_queries, model_queries
 
-OWN = {**data_queries.queries(), **model_queries.queries()}
-SQL = {**data_queries.oracle_sql(), **model_queries.oracle_sql()}
+OWN = {**data_queries.queries(), **model_queries.queries(), **engine_queries.queries()}
+SQL = {**data_queries.oracle_sql(), **model_queries.oracle_sql(), **engine_queries.oracle_sql()}
 
 
 @pytest.mark.parametrize("name", sorted(OWN))

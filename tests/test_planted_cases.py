@@ -66,3 +66,9 @@ def test_references_with_null_parts(spark, planted):
     for name in ("p1_found", "p1_partial", "p1_simple"):
         assert agrees(spark, name, folder, con), name
     assert data_queries.p1_partial(spark, folder).filter("in_force is null and company = '99999999'").count() > 0
+
+
+def test_stored_keys_that_no_dimension_row_has(spark, planted):
+    folder, con = planted(fact_payment="SELECT * REPLACE (CASE WHEN event_date_key % 3 = 0 THEN 12345 ELSE payer_company_sk END AS payer_company_sk, CASE WHEN event_date_key % 5 = 0 THEN NULL ELSE payee_company_sk END AS payee_company_sk) FROM fact_payment")
+    assert agrees(spark, "orphan_keys", folder, con) and model_queries.orphan_keys(spark, folder).count() == 1
+    assert agrees(spark, "p1_references", folder, con)

@@ -366,7 +366,7 @@ def load_fact(rows: DataFrame, table: str, payments: DataFrame, dimensions: dict
 
 
 def orphaned(fact: DataFrame, column: str, dimension: DataFrame, key: str) -> int:
-    """Fact rows whose key no dimension row has."""
-    distinct = fact.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """Fact rows whose key no dimension row has; a null refers to nothing."""
+    distinct = fact.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     lost = distinct.join(dimension.select(F.col(key).alias("__k")), F.col(column) == F.col("__k"), "left_anti")
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -15,6 +15,7 @@ from tidemark.operators.governance import assert_predicate, assert_revision, gra
 from tidemark.operators.promote import PromoteRefused, gate, promote_batch
 from tidemark.operators.quality import overlap_by_rule
 from tidemark.operators.specs import MODEL, Effectivity, Hub, Link, Reference, Satellite
+from tidemark.operators.star import Calendar, Enumerated, Fact, PointInTime, Versioned, build_star
 from tidemark.sources.contracts import MONTH, TABLES, LandedTable, rules_for, table_spec
 from tidemark.sources.readers import snapshot_window
 from tidemark.streaming.ingest import ingest
@@ -173,6 +174,17 @@ def vault_job(spark: SparkSession, job: str, *, load_date: str, months: list[str
     return Job(job, tasks)
 
 
+#: The dimensional tables, checked as a set when this module is imported.
+STAR = build_star(
+    (
+        Versioned("dim_company", "company_sk", "sat_empresa_dados"), Calendar("dim_date", "date_key"), Enumerated("dim_channel", "channel_key", "payment_method"), Enumerated("dim_currency", "currency_key", "currency"),
+        PointInTime("pit_estabelecimento", "hub_estabelecimento", ("sat_estabelecimento_dados", "sat_estabelecimento_endereco")),
+        Fact("fact_payment", "transaction_id", (("payer_company_sk", "dim_company"), ("payee_company_sk", "dim_company"), ("event_date_key", "dim_date"), ("fx_rate_date_key", "dim_date"), ("channel_key", "dim_channel"), ("currency_key", "dim_currency")), ("amount", "fx_rate", "amount_brl", "event_time")),
+    ),
+    MODEL, [n for t in TABLES.values() for n in (t.staging, t.bronze, t.quarantine)],
+)
+
+
 def gold_job(spark: SparkSession, job: str, *, load_date: str, revision: tuple[str | None, str | None] = (None, None)) -> Job:
     """Builds of one gold job from the vault's and bronze's tables: conformed, company, establishment or fact."""
     at = F.lit(required_instant(load_date)).cast("timestamp")
@@ -184,7 +196,7 @@ def gold_job(spark: SparkSession, job: str, *, load_date: str, revision: tuple[s
     def fact():
         payments = t("bronze_payments")
         rows = gold.fact_rows(payments, t("dim_company"), gold.ptax_intervals(t("bronze_ptax")), at)
-        keys = {"payer_company_sk": ("dim_company", "company_sk"), "payee_company_sk": ("dim_company", "company_sk"), "event_date_key": ("dim_date", "date_key"), "channel_key": ("dim_channel", "channel_key"), "currency_key": ("dim_currency", "currency_key")}
+        keys = {column: (dimension, STAR[dimension].surrogate) for column, dimension in STAR["fact_payment"].keys if column != "fx_rate_date_key"}
         return gold.load_fact(rows, "fact_payment", payments, {c: (t(d), k) for c, (d, k) in keys.items() if spark.catalog.tableExists(d)})
 
     def point_in_time():

@@ -310,7 +310,7 @@ def orphan_keys(spark, folder):
     """Stored fact rows whose company key no dimension row has, per role."""
     f, d = table(spark, folder, "fact_payment"), table(spark, folder, "dim_company").select(F.col("company_sk").alias("k"))
     keys = f.select(F.inline(F.array(*(F.struct(F.lit(r).alias("role"), F.col(f"{r}_company_sk").alias("sk")) for r in ("payer", "payee")))))
-    distinct = keys.groupBy("role", "sk").agg(F.count(F.lit(1)).alias("n"))
+    distinct = keys.filter("sk is not null").groupBy("role", "sk").agg(F.count(F.lit(1)).alias("n"))
     return distinct.join(d, distinct.sk == d.k, "left_anti").groupBy("role").agg(F.sum("n").alias("orphans"))
 
 

@@ -108,6 +108,36 @@ def registry(*tables: LandedTable) -> Mapping[str, LandedTable]:
     return MappingProxyType({t.name: t for t in tables})
 
 
+def check_contracts() -> None:
+    """Refuses contracts that contradict themselves; run when this module is imported.
+
+    Columns are distinct whatever their case and none is an audit column; required columns are declared.
+    """
+    for name, columns in COLUMNS.items():
+        folded = [c.casefold() for c in columns]
+        if not columns or len(set(folded)) < len(folded) or set(folded) & set(AUDIT):
+            raise ValueError(f"{name}: columns repeated, or those of the landing layer")
+    for name, required in REQUIRED.items():
+        if name not in COLUMNS or not set(required) <= set(COLUMNS[name]):
+            raise ValueError(f"{name}: required columns that no contract declares")
+
+
+def check_tables(tables: Mapping[str, LandedTable]) -> None:
+    """Refuses landed tables that can't be ingested or gated: each needs a known format, rules that read declared
+    columns, and a prefix exactly where it comes in archives, no two alike."""
+    prefixes = [t.prefix for t in tables.values() if t.prefix]
+    if len({p.casefold() for p in prefixes}) < len(prefixes):
+        raise ValueError(f"an archive prefix is claimed twice: {prefixes}")
+    for t in tables.values():
+        if t.format not in ("csv", "json"):
+            raise ValueError(f"{t.name}: unknown format {t.format!r}")
+        if (t.landing == "zips") != bool(t.prefix):
+            raise ValueError(f"{t.name}: a prefix belongs to archives, and only to them")
+        unread = {c for r in rules_for(t.name) for c in r.reads} - set(COLUMNS[t.name]) - set(AUDIT)
+        if unread:
+            raise ValueError(f"{t.name}: rules read {sorted(unread)}, which nothing declares")
+
+
 _KEY8 = "length(trim(cnpj_basico)) = 8"
 TABLES = registry(
     LandedTable("lookup", "local", promises=("length(trim(codigo)) > 0",)),
@@ -149,3 +179,7 @@ def rules_for(contract: str) -> list[q.Rule]:
     if contract == "merchant":
         return [*missing, q.wrong_full_cnpj(), q.wrong_date("onboarded_on"), q.wrong_snapshot_instant(), q.wrong_decimal("credit_limit", "decimal(14,2)"), *bytes_, q.case_divergence(columns), q.unprovable_ref_date()]
     return [*missing, q.wrong_length("cnpj_basico"), *bytes_, q.unprovable_ref_date()]
+
+
+check_contracts()
+check_tables(TABLES)
