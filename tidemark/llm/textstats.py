@@ -46,12 +46,32 @@ _ODD = re.compile(r"[^\w\s]+|\d+")
 _LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿĀ-ſ–—‘’“”…\xa0]*")
 _ASCII_ODD = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalpha() and chr(b) != "_")
 _PARAGRAPH = re.compile(r"\n\s*\n")
-_ENDED = re.compile(r"[.!?:;…][\"'”’»)\]]*\Z")
+#: Marks that may follow the one that ends a line or a sentence, and the marks that end them.
+_CLOSERS, _LINE_ENDS, _SENTENCE_ENDS = "\"'”’»)]", frozenset(".!?:;…"), frozenset(".!?;")
 _MARKER = re.compile(r"[\s>]*(?:[-*•+–—·]+\s|\[[ x]?\]|\(?\d{1,3}\s*[.)\-–:]\s|\(?[a-z]\)\s|#+\s)")
 _LEADER = re.compile(r"\.{4,}|…{2,}|_{4,}")
 _COLUMNS = re.compile(r"(?<=\S)\s{3,}(?=\S)")
 _STOP = re.compile(r"[.!?;]+[\"'”’»)\]]*(?=\s|\Z)")
-_CLOSED = re.compile(r"[.!?;]+[\"'”’»)\]]*\Z")
+
+
+def _ends(stripped: str, marks: frozenset[str]) -> bool:
+    """Whether a text without white space at its end ends in one of the marks, closing quotes and brackets aside."""
+    return stripped.rstrip(_CLOSERS)[-1:] in marks
+
+
+class _Short(dict):
+    """Whether a word has at most three letters and nothing else; remembered, for the same words come again and again."""
+
+    REMEMBERED = 1 << 18
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= self.REMEMBERED:
+            self.clear()
+        found = self[word] = len(word) < 4 and word.isalpha()
+        return found
+
+
+_SHORT = _Short()
 
 
 def _structured(line: str, solid: int, odd: int) -> bool:
@@ -72,7 +92,7 @@ def _structured(line: str, solid: int, odd: int) -> bool:
     mark = _MARKER.match(line)
     if mark:
         words = len(_WORD.findall(line, mark.end()))
-        return words < 6 or words < 12 and not _ENDED.search(bare)
+        return words < 6 or words < 12 and not _ends(bare, _LINE_ENDS)
     return ": " in line and len(_WORD.findall(line)) < 5
 
 
@@ -88,7 +108,7 @@ def _running(unit: str, words: list[str], short: int) -> bool:
     if commas > 3 and n < 5 * (commas + 1):
         return False
     lines = unit.strip().count("\n") + 1
-    if n > 80 or not _CLOSED.search(unit.rstrip()):
+    if n > 80 or not _ends(unit.rstrip(), _SENTENCE_ENDS):
         return n >= 6 * lines and n >= 6
     return n >= 3.2 * lines
 
@@ -105,18 +125,18 @@ def _odd(line: str) -> int:
     return len("".join(_ODD.findall(line)))
 
 
-#: Letters whose pairs are counted: those of the Latin scripts up to U+017F. Others say nothing about letters.
-LETTERS = [chr(c) for c in range(0x61, 0x180) if chr(c).islower() and chr(c).isalpha()]
+#: Letters whose pairs are counted: those of the Latin-1 characters. Others say nothing about letters.
+LETTERS = [chr(c) for c in range(0x61, 0x100) if chr(c).islower() and chr(c).isalpha()]
 _SIZE = len(LETTERS) + 1
 #: Pairs of letters that are held before they are counted.
 _PAIRS_HELD = 1 << 20
-_NUMBER = np.zeros(1 << 16, np.int32)
+_NUMBER = np.zeros(1 << 8, np.int32)
 _NUMBER[[ord(c) for c in LETTERS]] = np.arange(1, _SIZE)
 
 
 def letter_pairs(lower: str) -> np.ndarray:
     """Numbers of the pairs of neighbouring letters of a text in lower case."""
-    codes = _NUMBER[np.frombuffer(lower.encode("utf-16-le", "surrogatepass"), np.uint16)]
+    codes = _NUMBER[np.frombuffer(lower.encode("latin-1", "replace"), np.uint8)]
     left, right = codes[:-1], codes[1:]
     return (left * _SIZE + right)[(left > 0) & (right > 0)]
 
@@ -235,7 +255,7 @@ def statistics_of(text: str, learned: Learned) -> tuple[dict[str, float], str |
             if not own:
                 continue
             solid, lines = solid + own, lines + 1
-            ended += bool(_ENDED.search(line.rstrip()))
+            ended += _ends(line.rstrip(), _LINE_ENDS)
             if _structured(line, own, _odd(line)):
                 words += _WORD.findall(line)
             else:
@@ -248,7 +268,7 @@ def statistics_of(text: str, learned: Learned) -> tuple[dict[str, float], str |
             some = _WORD.findall(unit)
             if not some:
                 continue
-            short = sum([len(w) < 4 and w.isalpha() for w in some])
+            short = sum(map(_SHORT.__getitem__, some))
             if _running(unit, some, short) and not (suspicious and learned.letter_surprise(unit) > learned.random):
                 running += _solid(unit)
             words += some
